@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import io
-import os
 import tempfile
 import uuid
 import zipfile
@@ -32,10 +31,12 @@ def ship(spark: SparkSession) -> None:
         with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as z:
             for p in sorted(root.rglob("*.py")):
                 z.write(p, str(p.relative_to(root.parent)))
-        with tempfile.TemporaryDirectory() as folder:
-            path = os.path.join(folder, "quillspark_code.zip")
-            Path(path).write_bytes(buffer.getvalue())
-            sc.addPyFile(path)  # the driver's file server keeps its own copy
+        at = f"{shared_dir(spark)}/quillspark/code-{uuid.uuid4().hex}.zip"
+        path = sc._jvm.org.apache.hadoop.fs.Path(at)
+        stream = path.getFileSystem(sc._jsc.hadoopConfiguration()).create(path)
+        stream.write(buffer.getvalue())
+        stream.close()
+        sc.addPyFile(at)
     sc._quillspark_shipped = True
 
 
