@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillspark.llm import bpe
+from quillspark.llm import bpe, decontam, quality
 from quillspark.llm.common import table
 
 
@@ -18,8 +18,16 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_byte_bpe, op2_token_counts)}
+    return {f.__name__: f for f in (op1_byte_bpe, op2_token_counts, op3_quality_classifier, op9_benchmark_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
