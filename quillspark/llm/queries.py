@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillspark.llm import bpe, decontam, quality
+from quillspark.llm import bpe, decontam, exactdup, linededup, quality
 from quillspark.llm.common import table
 
 
@@ -22,13 +22,24 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_deleted")
+
+
+def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exactdup.exact_copies(table(spark, sf_dir, "documents"))
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_byte_bpe, op2_token_counts, op3_quality_classifier, op9_benchmark_decontamination)}
+    return {f.__name__: f for f in (op1_byte_bpe, op2_token_counts, op3_quality_classifier, op6_line_dedup, op7_exact_dedup, op9_benchmark_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op6_line_dedup": linededup.SQL.format(table="documents", min_chars=linededup.MIN_CHARS),
+        "op7_exact_dedup": exactdup.SQL,
+    }
