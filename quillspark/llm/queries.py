@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillspark.llm import bpe, decontam, exactdup, linededup, quality
+from quillspark.llm import bpe, decontam, exactdup, jaccard, linededup, quality
 from quillspark.llm.common import table
 
 
@@ -22,6 +22,10 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_pairs(table(spark, sf_dir, "documents"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_deleted")
 
@@ -35,7 +39,7 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_byte_bpe, op2_token_counts, op3_quality_classifier, op6_line_dedup, op7_exact_dedup, op9_benchmark_decontamination)}
+    return {f.__name__: f for f in (op1_byte_bpe, op2_token_counts, op3_quality_classifier, op4_ngram_jaccard_join, op6_line_dedup, op7_exact_dedup, op9_benchmark_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
