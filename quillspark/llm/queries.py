@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillspark.llm import bpe, decontam, exactdup, jaccard, linededup, quality
+from quillspark.llm import bpe, decontam, exactdup, jaccard, linededup, quality, toxicity
 from quillspark.llm.common import table
 
 
@@ -19,7 +19,8 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    """The documents that the classifier keeps, with their scores; quality.score has the rejected ones too."""
+    return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).where("keep").select("doc_id", "score")
 
 
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,12 +35,17 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exactdup.exact_copies(table(spark, sf_dir, "documents"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that are toxic; toxicity.score_toxicity has the scores of all."""
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).where("toxic").select("doc_id", "score", "terms")
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_byte_bpe, op2_token_counts, op3_quality_classifier, op4_ngram_jaccard_join, op6_line_dedup, op7_exact_dedup, op9_benchmark_decontamination)}
+    return {f.__name__: f for f in (op1_byte_bpe, op2_token_counts, op3_quality_classifier, op4_ngram_jaccard_join, op6_line_dedup, op7_exact_dedup, op8_toxicity, op9_benchmark_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
