@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillspark.llm import bpe, decontam, exactdup, jaccard, linededup, quality, toxicity
+from quillspark.llm import bpe, decontam, exactdup, jaccard, linededup, quality, suffixdedup, toxicity
 from quillspark.llm.common import table
 
 
@@ -27,6 +27,10 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_pairs(table(spark, sf_dir, "documents"))
 
 
+def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixdedup.repeated_spans(table(spark, sf_dir, "documents"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_deleted")
 
@@ -45,7 +49,7 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_byte_bpe, op2_token_counts, op3_quality_classifier, op4_ngram_jaccard_join, op6_line_dedup, op7_exact_dedup, op8_toxicity, op9_benchmark_decontamination)}
+    return {f.__name__: f for f in (op1_byte_bpe, op2_token_counts, op3_quality_classifier, op4_ngram_jaccard_join, op5_suffix_array_dedup, op6_line_dedup, op7_exact_dedup, op8_toxicity, op9_benchmark_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
