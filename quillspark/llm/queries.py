@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillspark.llm import bpe, decontam, exactdup, jaccard, linededup, quality, suffixdedup, toxicity
+from quillspark.llm import bpe, decontam, exactdup, jaccard, linededup, lmscore, quality, suffixdedup, toxicity
 from quillspark.llm.common import table
 
 
@@ -48,8 +48,24 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontam.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lmscore.lm_scores(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_byte_bpe, op2_token_counts, op3_quality_classifier, op4_ngram_jaccard_join, op5_suffix_array_dedup, op6_line_dedup, op7_exact_dedup, op8_toxicity, op9_benchmark_decontamination)}
+    found = (
+        op1_byte_bpe,
+        op2_token_counts,
+        op3_quality_classifier,
+        op4_ngram_jaccard_join,
+        op5_suffix_array_dedup,
+        op6_line_dedup,
+        op7_exact_dedup,
+        op8_toxicity,
+        op9_benchmark_decontamination,
+        op10_lm_scoring,
+    )
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
