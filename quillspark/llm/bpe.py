@@ -23,6 +23,8 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+import re
+from array import array
 from functools import lru_cache
 from pathlib import Path
 
@@ -88,7 +90,7 @@ def merge_tokens(ranks: dict[bytes, int], piece: bytes) -> tuple[int, ...]:
 class Transducer:
     """The determinised transducer of a vocabulary, grown as input needs it and dropped when it is too large."""
 
-    def __init__(self, ranks: dict[bytes, int], most_states: int = 60_000):
+    def __init__(self, ranks: dict[bytes, int], most_states: int = 250_000):
         self.ranks, self.most_states = ranks, most_states
         self.bytes_of = {r: t for t, r in ranks.items()}
         self.children: list[dict[int, int]] = [{}]
@@ -109,25 +111,23 @@ class Transducer:
         self._reset()
 
     def _reset(self) -> None:
-        self.numbers: dict[frozenset, int] = {}
+        self.numbers: dict[tuple, int] = {}
         self.paths: list[tuple] = []
-        self.steps: list[dict[int, tuple[int, tuple[int, ...]]]] = []
+        self.moves: dict[int, tuple[int, tuple[int, ...]]] = {}  # by state << 8 | byte: the next state << 8, and what is emitted
         self.finals: list[tuple[int, ...] | None] = []
         self._number((((-1, 0), ()),))
 
     def _number(self, paths: tuple) -> int:
-        key = frozenset(paths)
-        number = self.numbers.get(key)
+        number = self.numbers.get(paths)
         if number is None:
-            number = self.numbers[key] = len(self.paths)
+            number = self.numbers[paths] = len(self.paths)
             self.paths.append(paths)
-            self.steps.append({})
             self.finals.append(next((owed for (_, node), owed in paths if node == 0), None))
         return number
 
-    def _step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        found = []
-        for (last, node), owed in self.paths[state]:
+    def _step(self, at: int) -> tuple[int, tuple[int, ...]]:
+        byte, found = at & 255, []
+        for (last, node), owed in self.paths[at >> 8]:
             child = self.children[node].get(byte)
             if child is None:
                 continue
@@ -145,21 +145,22 @@ class Transducer:
                 n += 1
             common = common[:n]
         n = len(common)
-        paths = tuple((where, owed[n:]) for where, owed in found)
+        paths = tuple((where, owed[n:]) for where, owed in found) if n else tuple(found)
         self.longest_delay = max(self.longest_delay, *(len(owed) for _, owed in paths))
-        result = self.steps[state][byte] = (self._number(paths), common)
+        result = self.moves[at] = (self._number(paths) << 8, common)
         return result
 
-    def encode(self, piece: bytes) -> tuple[int, ...]:
+    def encode(self, piece: bytes) -> list[int]:
         if len(self.paths) > self.most_states:
             self._reset()
         out: list[int] = []
-        state, steps = 0, self.steps
+        state, known = 0, self.moves.get
         for byte in piece:
-            state, emitted = steps[state].get(byte) or self._step(state, byte)
+            state, emitted = known(state | byte) or self._step(state | byte)
             if emitted:
                 out += emitted
-        return (*out, *self.finals[state])
+        out += self.finals[state >> 8]
+        return out
 
 
 #: UTF-8 as an automaton: state 0 stands between characters, others await continuation bytes in a range.
@@ -187,6 +188,10 @@ class StreamingDecoder:
         self.bytes_of = bytes_of
         self.moves = Bounded(lambda key: self._move(*key))
         self.pending = b""
+        self.whole: list[str | None] = [None] * (max(bytes_of, default=-1) + 1)
+        for token in bytes_of:
+            text, rest = self._move(b"", token)
+            self.whole[token] = None if rest or "\ufffd" in text else text
 
     def _move(self, pending: bytes, token: int) -> tuple[str, bytes]:
         """What a token adds after pending bytes of an unfinished character, and the bytes then pending."""
@@ -221,8 +226,27 @@ class StreamingDecoder:
         rest, self.pending = self.pending, b""
         return "�" if rest else ""
 
-    def decode(self, tokens) -> str:
-        return self.feed(tokens) + self.finish()
+    def decode(self, tokens: list[int]) -> str:
+        """The text of a whole list. Where every token ends between characters the state stays 0 and its moves are read off a table."""
+        try:
+            return "".join(map(self.whole.__getitem__, tokens))
+        except (TypeError, IndexError):
+            return self.feed(tokens) + self.finish()
+
+
+_LETTER, _DIGIT, _SPACE = "A-Za-zªµºÀ-ÖØ-öø-ÿ", "0-9²³¹¼-¾", r"\t-\r \x85\xa0"
+#: The same cuts for text of code points under 256, where a plain character class says what a property does.
+_LATIN = re.compile(rf" ?[{_LETTER}]+|'(?:[stmd]|re|ve|ll)| ?[{_DIGIT}]+| ?[^{_SPACE}{_LETTER}{_DIGIT}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
+
+
+def is_latin(text: str) -> bool:
+    if text.isascii():
+        return True
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
 
 
 class Codec:
@@ -230,21 +254,20 @@ class Codec:
         import regex
 
         self.ranks = read_ranks(data)
-        self.cut = regex.compile(PRETOKEN).findall
+        self.any = regex.compile(PRETOKEN).findall
         self.transducer = Transducer(self.ranks)
         self.decoder = StreamingDecoder(self.transducer.bytes_of)
-        self.encoded = Bounded(lambda piece: self.transducer.encode(piece.encode("utf-8", "replace")), 250_000)
+        self.encoded = Bounded(lambda piece: array("i", self.transducer.encode(piece.encode("utf-8", "replace"))).tobytes(), 500_000)
         self.counted = Bounded(lambda piece: merge_count(self.ranks, piece.encode("utf-8", "replace")), 500_000)
 
-    def encode(self, text: str) -> list[int]:
-        out: list[int] = []
-        extend, encoded = out.extend, self.encoded
-        for piece in self.cut(text):
-            extend(encoded[piece])
-        return out
+    def cut(self, text: str) -> list[str]:
+        return (self.any if not is_latin(text) else _LATIN.findall)(text)
+
+    def encode(self, text: str) -> np.ndarray:
+        return np.frombuffer(b"".join(map(self.encoded.__getitem__, self.cut(text))), np.int32) if text else np.zeros(0, np.int32)
 
     def count(self, text: str) -> int:
-        return sum(map(self.counted.__getitem__, self.cut(text)))
+        return sum(map(self.counted.__getitem__, self.cut(text))) if text else 0
 
 
 _DATA: dict[str, bytes] = {}
@@ -274,10 +297,10 @@ def encode_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         codec, flat, counts, trips = _open(shared, digest), [], [], []
         for text in texts_of(batch):
-            tokens = codec.encode(text) if text else []
-            trips.append(None if text is None else codec.decoder.decode(tokens) == text)
+            tokens = codec.encode(text)
+            trips.append(None if text is None else codec.decoder.decode(tokens.tolist()) == text)
             counts.append(None if text is None else len(tokens))
-            flat.append(np.array(tokens, np.int32))
+            flat.append(tokens)
         valid = np.array([c is not None for c in counts], bool)
         tokens = lists(np.concatenate(flat), [len(x) for x in flat], pa.int32(), valid)
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int32()), tokens, pa.array(trips, pa.bool_())], ["doc_id", "n_tokens", "tokens", "round_trip"])
