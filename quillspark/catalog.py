@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from quillspark import plans
+from quillspark.plans import answers, chunks, corpus, index, pages, semantics  # noqa: F401  (they register their queries)
 
-from pyspark.sql import DataFrame, SparkSession
 
-
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+def queries() -> dict[str, plans.Query]:
+    return dict(plans.QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(plans.SQL)

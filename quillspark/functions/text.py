@@ -35,6 +35,11 @@ def is_falsy(x: str | Column, kind: str = "string") -> Column:
     return c.isNull() | (c == "")
 
 
+def strip(x: str | Column) -> Column:
+    """Without white space at either end."""
+    return F.regexp_replace(given(x), r"(?U)^[\s\x1C-\x1F]+|[\s\x1C-\x1F]+$", "")
+
+
 def fold(x: str | Column) -> Column:
     """All white space to single blanks, none at the ends."""
     return F.trim(F.regexp_replace(given(x), SPACE, " "))
