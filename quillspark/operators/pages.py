@@ -33,6 +33,8 @@ HEADINGS = {
     "结论": "结论|小结",
     "参考文献": "(?:主要)?参考文献",
 }
+#: Words that open a heading whose number stands apart by a blank only.
+_OPENING = "|".join("一般 不良反应 临床 仪器 关键词 分析 前言 对象 小结 引言 指标 排除 摘要 方案 方法 机制 材料 治疗 疗效 病例 病因 研究 纳入 结果 结论 统计 绪论 观察 讨论 评价 诊断 资料 随访".split())
 BODY, REFERENCES = "正文", "参考文献"
 
 
@@ -77,7 +79,7 @@ def without_margins(pages: DataFrame, document: str = "document_id", page: str =
 
 def title_after_number(line: Column) -> Column:
     """The rest of a line after a section number; null if it has none."""
-    start = "^(?:摘要|关键词|引言|前言|绪论|资料|材料|对象|病例|临床|一般|研究|仪器|方法|治疗|方案|纳入|排除|观察|评价|指标|统计|结果|讨论|结论|小结|不良|随访|参考|诊断|疗效|并发)"
+    start = f"^(?:{_OPENING})"
 
     def rest(pattern: str) -> Column:
         return F.trim(F.regexp_replace(line, pattern, ""))
