@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import sys
 import re
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quillspark.functions.text import CJK, UNIT, col, fold, fold_cjk, given
 
+#: Functions of this module travel whole, so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 #: Abbreviations whose full stop ends no sentence; longer ones are protected first.
 ABBREVIATIONS = ("Prof.", "e.g.", "i.e.", "Fig.", "fig.", "Mrs.", "Dr.", "Mr.", "Ms.", "vs.", "al.", "No.")
 _HELD = "\x02"

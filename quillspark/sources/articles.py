@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 import re
 import xml.etree.ElementTree as ET
 from collections.abc import Iterator
@@ -9,9 +10,13 @@ from html.parser import HTMLParser
 from pathlib import PurePosixPath
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Functions of this module travel whole, so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 SKIPPED = tuple(
     "acknowledgement|acknowledgment|author contribution|authors' contributions|availability of data|data availability|conflict of interest|competing interest"
     "|declaration|ethics approval|ethical approval|informed consent|funding|supplementary|references".split("|")
@@ -103,6 +108,8 @@ def parse_article(content: bytes, path: str, least: int = MIN_CHARS) -> list[dic
 def parse_articles(files: DataFrame, least: int = MIN_CHARS) -> DataFrame:
     """Paragraphs, and a status and error for each file, of (path, content): rows with error null are paragraphs or empty files."""
 
+    names = [c.split()[0] for c in PARAGRAPH.split(", ")] + ["status", "error"]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
@@ -112,7 +119,8 @@ def parse_articles(files: DataFrame, least: int = MIN_CHARS) -> DataFrame:
                     rows += [{**r, "status": "parsed", "error": None} for r in got] or [{"source_path": path, "status": "empty", "error": None}]
                 except ET.ParseError as problem:
                     rows.append({"source_path": path, "status": "failed", "error": f"{type(problem).__name__}: {problem}"})
-            yield pd.DataFrame(rows, columns=[c.split()[0] for c in PARAGRAPH.split(", ")] + ["status", "error"]).astype({"paragraph_index": "Int32", "char_count": "Int32"})
+            columns = {c: [r.get(c) for r in rows] for c in names}
+            yield pd.DataFrame({c: pd.array(v, "Int32") if c in ("paragraph_index", "char_count") else pd.Series(v, dtype=object) for c, v in columns.items()})
 
     return files.select("path", "content").mapInPandas(run, PARAGRAPH + ", status string, error string")
 
