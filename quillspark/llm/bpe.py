@@ -88,9 +88,13 @@ def merge_tokens(ranks: dict[bytes, int], piece: bytes) -> tuple[int, ...]:
 
 
 class Transducer:
-    """The determinised transducer of a vocabulary, grown as input needs it and dropped when it is too large."""
+    """The determinised transducer of a vocabulary, grown as input needs it.
 
-    def __init__(self, ranks: dict[bytes, int], most_states: int = 250_000):
+    Once it has ``most_states`` states, transitions that it lacks are determinised for the moment and not kept; if those
+    come to outnumber the states by far, the input has changed and the transducer starts afresh.
+    """
+
+    def __init__(self, ranks: dict[bytes, int], most_states: int = 100_000):
         self.ranks, self.most_states = ranks, most_states
         self.bytes_of = {r: t for t, r in ranks.items()}
         self.children: list[dict[int, int]] = [{}]
@@ -115,6 +119,7 @@ class Transducer:
         self.paths: list[tuple] = []
         self.moves: dict[int, tuple[int, tuple[int, ...]]] = {}  # by state << 8 | byte: the next state << 8, and what is emitted
         self.finals: list[tuple[int, ...] | None] = []
+        self.unkept = 0
         self._number((((-1, 0), ()),))
 
     def _number(self, paths: tuple) -> int:
@@ -125,9 +130,10 @@ class Transducer:
             self.finals.append(next((owed for (_, node), owed in paths if node == 0), None))
         return number
 
-    def _step(self, at: int) -> tuple[int, tuple[int, ...]]:
-        byte, found = at & 255, []
-        for (last, node), owed in self.paths[at >> 8]:
+    def _advance(self, paths: tuple, byte: int) -> tuple[tuple, tuple[int, ...]]:
+        """The live paths after a byte, and the tokens that all of them owe in common."""
+        found = []
+        for (last, node), owed in paths:
             child = self.children[node].get(byte)
             if child is None:
                 continue
@@ -145,21 +151,44 @@ class Transducer:
                 n += 1
             common = common[:n]
         n = len(common)
-        paths = tuple((where, owed[n:]) for where, owed in found) if n else tuple(found)
-        self.longest_delay = max(self.longest_delay, *(len(owed) for _, owed in paths))
+        self.longest_delay = max(self.longest_delay, *(len(owed) - n for _, owed in found))
+        return tuple((where, owed[n:]) for where, owed in found) if n else tuple(found), common
+
+    def _step(self, at: int) -> tuple[int, tuple[int, ...]]:
+        paths, common = self._advance(self.paths[at >> 8], at & 255)
         result = self.moves[at] = (self._number(paths) << 8, common)
         return result
 
     def encode(self, piece: bytes) -> list[int]:
-        if len(self.paths) > self.most_states:
+        full = len(self.paths) >= self.most_states
+        if full and self.unkept > 32 * self.most_states:
             self._reset()
+            full = False
         out: list[int] = []
         state, known = 0, self.moves.get
+        passing: tuple | None = None  # the paths, while they belong to no state
         for byte in piece:
-            state, emitted = known(state | byte) or self._step(state | byte)
+            if passing is None:
+                move = known(state | byte)
+                if move is None and not full:
+                    move = self._step(state | byte)
+                if move is not None:
+                    state, emitted = move
+                    if emitted:
+                        out += emitted
+                    continue
+                passing = self.paths[state >> 8]
+            passing, emitted = self._advance(passing, byte)
+            self.unkept += 1
             if emitted:
                 out += emitted
-        out += self.finals[state >> 8]
+            number = self.numbers.get(passing)
+            if number is not None:
+                state, passing = number << 8, None
+        if passing is None:
+            out += self.finals[state >> 8]
+        else:
+            out += next(owed for (_, node), owed in passing if node == 0)
         return out
 
 
@@ -257,7 +286,7 @@ class Codec:
         self.any = regex.compile(PRETOKEN).findall
         self.transducer = Transducer(self.ranks)
         self.decoder = StreamingDecoder(self.transducer.bytes_of)
-        self.encoded = Bounded(lambda piece: array("i", self.transducer.encode(piece.encode("utf-8", "replace"))).tobytes(), 500_000)
+        self.encoded = Bounded(lambda piece: array("i", self.transducer.encode(piece.encode("utf-8", "replace"))).tobytes(), 400_000)
         self.counted = Bounded(lambda piece: merge_count(self.ranks, piece.encode("utf-8", "replace")), 500_000)
 
     def cut(self, text: str) -> list[str]:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 import tempfile
 import uuid
+import weakref
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
@@ -98,18 +99,40 @@ def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch |
 
 
 class Bounded(dict):
-    """A memo that forgets everything when it is full: any size of input, bounded memory."""
+    """A memo that forgets everything when it is full: any size of input, bounded memory.
+
+    A worker outlives the operators that run in it, so memos that have made nothing while others made ``IDLE`` entries are emptied.
+    """
+
+    IDLE = 50_000
+    _made = 0
+    _all: list[weakref.ref] = []
 
     def __init__(self, make: Callable, most: int = 400_000):
         super().__init__()
-        self.make, self.most = make, most
+        self.make, self.most, self.used = make, most, False
+        Bounded._all.append(weakref.ref(self))
 
     def __missing__(self, key):
         if len(self) >= self.most:
             self.clear()
+        self.used = True
+        Bounded._made += 1
+        if Bounded._made >= self.IDLE:
+            Bounded._made = 0
+            self._empty_idle()
         value = self[key] = self.make(key)
         return value
 
+    @staticmethod
+    def _empty_idle() -> None:
+        live = [(r, m) for r in Bounded._all if (m := r()) is not None]
+        Bounded._all[:] = [r for r, _ in live]
+        for _, memo in live:
+            if not memo.used:
+                memo.clear()
+            memo.used = False
+
 
 def hash64(word: str) -> int:
     return xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
