@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import documents, map_batches, ship, sliced, texts_of
+from quillspark.llm.common import cut, documents, map_batches, ship, sliced, texts_of
 
 VOCABULARY = 2048
 DIMENSIONS = 32
@@ -63,8 +63,9 @@ def count_words(docs: DataFrame) -> DataFrame:
 
 def choose_vocabulary(docs: DataFrame, size: int = VOCABULARY) -> tuple[list[str], np.ndarray]:
     """The most frequent words after the two special ones, and the relative frequency of each."""
-    counts = count_words(docs)
-    top = counts.orderBy(F.desc("n"), "word").limit(size - 2).collect()
+    counts = cut(count_words(docs))
+    # The limit stands below a projection: tasks send their own best to one task, not to the driver.
+    top = counts.orderBy(F.desc("n"), "word").limit(size - 2).repartition(1).sortWithinPartitions(F.desc("n"), "word").collect()
     total = counts.agg(F.sum("n")).first()[0] or 0
     words = ["\x00unknown", "\x00edge", *(r["word"] for r in top)]
     known = np.array([r["n"] for r in top], np.float64)
