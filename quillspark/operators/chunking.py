@@ -6,14 +6,13 @@ Only the encoder and the cutting of overlong sentences are Arrow functions.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.functions.sentences import join_lines_cjk, split_sentences
-from quillspark.functions.text import col, fold, given, section_key, slug, unit_count, word_count
+from quillspark.functions.text import col, fold, given, let, section_key, slug, unit_count, word_count
 from quillspark.functions.vectors import cosine
 from quillspark.operators.registry import record_identifier
 
@@ -39,11 +38,6 @@ EN, CJK = Limits(), Limits(least=180, most=900)
 UNLIMITED = Limits(least=0, most=10_000)
 
 
-def let(value: str | Column, body: Callable[[Column], Column]) -> Column:
-    """body of a value that is evaluated once, however often body names it: the optimiser may inline a column into a lambda."""
-    return F.get(F.transform(F.array(col(value)), body), F.lit(0))
-
-
 def gap_windows(sentences: str | Column, window: int = 2, glue: str = " ") -> Column:
     """array<struct<left, right>>: for each gap the joined sentences before and after it."""
     s = col(sentences)
@@ -122,6 +116,11 @@ def _between(values: Column, r: Column) -> Column:
     return F.aggregate(F.slice(values, r["start"] + 1, r["stop"] - r["start"]), F.lit(0), lambda a, x: a + x)
 
 
+def _from_stops(first: Column, stops: Column) -> Column:
+    """Neighbouring ranges from where the first begins and where each ends. Folds keep the ends only: their state is copied at every step."""
+    return F.zip_with(F.concat(F.array(first), F.slice(stops, F.lit(1), F.size(stops) - 1)), stops, lambda a, b: F.struct(a.alias("start"), b.alias("stop")))
+
+
 def _joined(texts: Column, r: Column) -> Column:
     return join_lines_cjk(F.slice(texts, r["start"] + 1, r["stop"] - r["start"]))
 
@@ -139,30 +138,36 @@ def merge_short(found: str | Column, sizes: str | Column, limits: Limits = EN, t
 
 
 def _merged(r: Column, sizes: Column, lines: Column | None, limits: Limits, backward: bool) -> Column:
-    def short(p: Column) -> Column:
-        return (_between(sizes, p) if lines is None else unit_count(_joined(lines, p))) < limits.least
+    def joined(a: Column, b: Column) -> Column:
+        """Two neighbouring ranges as one, with its size and characters."""
+        both = F.struct(a["start"].alias("start"), b["stop"].alias("stop"))
+        return measured(both) if lines is not None else F.struct(a["start"].alias("start"), b["stop"].alias("stop"), (a["n"] + b["n"]).alias("n"), F.lit(0).alias("c"))
 
-    def fits(both: Column) -> Column:
-        if lines is None:
-            return _between(sizes, both) <= limits.most
-        return (unit_count(_joined(lines, both)) <= limits.most) & (F.length(_joined(lines, both)) <= limits.most_chars)
+    def measured(x: Column) -> Column:
+        n, c = (_between(sizes, x), F.lit(0)) if lines is None else (unit_count(_joined(lines, x)), F.length(_joined(lines, x)))
+        return F.struct(x["start"].alias("start"), x["stop"].alias("stop"), n.alias("n"), c.alias("c"))
+
+    def fits(x: Column) -> Column:
+        return (x["n"] <= limits.most) if lines is None else (x["n"] <= limits.most) & (x["c"] <= limits.most_chars)
 
     def step(acc: Column, x: Column) -> Column:
         p = acc["p"]
-        both = F.struct(p["start"].alias("start"), x["stop"].alias("stop"))
-        return F.when(short(p) & fits(both), F.struct(both.alias("p"), acc["done"].alias("done"))).otherwise(F.struct(x.alias("p"), F.array_append(acc["done"], p).alias("done")))
+        apart = F.struct(x.alias("p"), p.alias("q"), F.array_append(acc["stops"], p["stop"]).alias("stops"))
+        return F.when(p["n"] < limits.least, let(joined(p, x), lambda both: F.when(fits(both), F.struct(both.alias("p"), acc["q"].alias("q"), acc["stops"].alias("stops"))).otherwise(apart))).otherwise(apart)
 
     def finish(acc: Column) -> Column:
-        done, p = acc["done"], acc["p"]
-        if not backward:
-            return F.array_append(done, p)
-        last = F.try_element_at(done, F.lit(-1))
-        both = F.struct(last["start"].alias("start"), p["stop"].alias("stop"))
-        join = (F.size(done) > 0) & short(p) & fits(both)
-        return F.when(join, F.array_append(F.slice(done, F.lit(1), F.size(done) - 1), both)).otherwise(F.array_append(done, p))
+        stops, p = acc["stops"], acc["p"]
+        if backward:  # q is the range before the last
+            join = (F.size(stops) > 0) & (p["n"] < limits.least) & fits(joined(acc["q"], p))
+            stops = F.when(join, F.slice(stops, F.lit(1), F.size(stops) - 1)).otherwise(stops)
+        return F.array_append(stops, p["stop"])
+
+    def fold(m: Column) -> Column:
+        one = F.get(m, F.lit(0))
+        first = F.struct(one.alias("p"), one.alias("q"), F.array().cast("array<int>").alias("stops"))
+        return _from_stops(one["start"], F.aggregate(F.slice(m, F.lit(2), F.size(m)), first, step, finish))
 
-    first = F.struct(F.get(r, F.lit(0)).alias("p"), F.array().cast(_RANGES).alias("done"))
-    return F.when(F.size(r) > 1, F.aggregate(F.slice(r, F.lit(2), F.size(r)), first, step, finish)).otherwise(r)
+    return F.when(F.size(r) > 1, let(F.transform(r, measured), fold)).otherwise(r)
 
 
 def split_oversized(found: str | Column, sizes: str | Column, limits: Limits = EN, texts: str | Column | None = None) -> Column:
@@ -177,7 +182,7 @@ def split_oversized(found: str | Column, sizes: str | Column, limits: Limits = E
 
 def _split(found: Column, sizes: Column, lines: Column | None, length: Column | None, limits: Limits) -> Column:
     def cut(r: Column) -> Column:
-        start = F.struct(r["start"].alias("st"), F.lit(0).alias("n"), F.lit(0).alias("c"), F.array().cast(_RANGES).alias("done"))
+        start = F.struct(r["start"].alias("st"), F.lit(0).alias("n"), F.lit(0).alias("c"), F.array().cast("array<int>").alias("stops"))
 
         def step(acc: Column, i: Column) -> Column:
             n = F.get(sizes, i)
@@ -187,10 +192,10 @@ def _split(found: Column, sizes: Column, lines: Column | None, length: Column |
                 c = F.get(length, i)
                 more = acc["c"] + F.when((acc["c"] > 0) & (c > 0), 1).otherwise(0) + c
                 now = (i > acc["st"]) & ((acc["n"] + n > limits.most) | (more > limits.most_chars))
-            new = F.struct(i.alias("st"), n.alias("n"), c.alias("c"), F.array_append(acc["done"], F.struct(acc["st"].alias("start"), i.alias("stop"))).alias("done"))
-            return F.when(now, new).otherwise(F.struct(acc["st"].alias("st"), (acc["n"] + n).alias("n"), more.alias("c"), acc["done"].alias("done")))
+            new = F.struct(i.alias("st"), n.alias("n"), c.alias("c"), F.array_append(acc["stops"], i).alias("stops"))
+            return F.when(now, new).otherwise(F.struct(acc["st"].alias("st"), (acc["n"] + n).alias("n"), more.alias("c"), acc["stops"].alias("stops")))
 
-        return F.aggregate(F.sequence(r["start"], r["stop"] - 1), start, step, lambda acc: F.array_append(acc["done"], F.struct(acc["st"].alias("start"), r["stop"].alias("stop"))))
+        return _from_stops(r["start"], F.aggregate(F.sequence(r["start"], r["stop"] - 1), start, step, lambda acc: F.array_append(acc["stops"], r["stop"])))
 
     def over(r: Column) -> Column:
         if lines is None:
@@ -202,16 +207,20 @@ def _split(found: Column, sizes: Column, lines: Column | None, length: Column |
 
 def pack(sentences: str | Column, most: int = 260) -> Column:
     """Ranges of sentences packed in order up to a number of words; one sentence may exceed it alone."""
-    sizes = F.transform(col(sentences), word_count)
-    start = F.struct(F.lit(0).alias("st"), F.lit(0).alias("n"), F.lit(0).alias("i"), F.array().cast(_RANGES).alias("done"))
 
-    def step(acc: Column, n: Column) -> Column:
-        cut = (acc["i"] > acc["st"]) & (acc["n"] + n > most)
-        new = F.struct(acc["i"].alias("st"), n.alias("n"), (acc["i"] + 1).alias("i"), F.array_append(acc["done"], F.struct(acc["st"].alias("start"), acc["i"].alias("stop"))).alias("done"))
-        return F.when(cut, new).otherwise(F.struct(acc["st"].alias("st"), (acc["n"] + n).alias("n"), (acc["i"] + 1).alias("i"), acc["done"].alias("done")))
+    def packed(sizes: Column) -> Column:
+        start = F.struct(F.lit(0).alias("st"), F.lit(0).alias("n"), F.lit(0).alias("i"), F.array().cast("array<int>").alias("stops"))
+
+        def step(acc: Column, n: Column) -> Column:
+            i = acc["i"]
+            cut = (i > acc["st"]) & (acc["n"] + n > most)
+            new = F.struct(i.alias("st"), n.alias("n"), (i + 1).alias("i"), F.array_append(acc["stops"], i).alias("stops"))
+            return F.when(cut, new).otherwise(F.struct(acc["st"].alias("st"), (acc["n"] + n).alias("n"), (i + 1).alias("i"), acc["stops"].alias("stops")))
+
+        found = _from_stops(F.lit(0), F.aggregate(sizes, start, step, lambda a: F.array_append(a["stops"], a["i"])))
+        return F.when(F.size(sizes) > 0, found).otherwise(F.array().cast(_RANGES))
 
-    packed = F.aggregate(sizes, start, step, lambda a: F.array_append(a["done"], F.struct(a["st"].alias("start"), a["i"].alias("stop"))))
-    return F.when(F.size(col(sentences)) > 0, packed).otherwise(F.array().cast(_RANGES))
+    return let(F.transform(col(sentences), word_count), packed)
 
 
 def _numbered(prefix: Column, k: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillspark import vocab
-from quillspark.functions.text import citation_ids, col, given, strip
+from quillspark.functions.text import citation_ids, col, given, let, strip
 
 _ISSUES = "array<struct<severity:string,code:string,message:string>>"
 JUDGED = "status string, faithfulness_score int, groundedness_score int, safety_score int, comments string, unsupported_claims array<string>"
@@ -80,19 +80,19 @@ def json_object(raw: str | Column) -> Column:
 
 def parse_judgement(raw: str | Column) -> Column:
     """struct(status, scores, comments, unsupported_claims, parse_error, raw_response): defaults for what is missing, a warning for what can't be read."""
-    body = json_object(raw)
-    parsed = F.from_json(body, JUDGED + ", _bad string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
-    bad = body.isNull() | parsed.isNull() | parsed["_bad"].isNotNull()
-
-    def kept(field: str, default: Column) -> Column:
-        return F.when(bad, default).otherwise(F.coalesce(parsed[field], default)).alias(field)
-
-    zero = F.lit(0)
-    return F.struct(
-        kept("status", F.lit("warning")), kept("faithfulness_score", zero), kept("groundedness_score", zero), kept("safety_score", zero),
-        F.when(bad, F.lit("judge output could not be parsed")).otherwise(F.coalesce(parsed["comments"], F.lit("judge output could not be parsed"))).alias("comments"),
-        kept("unsupported_claims", F.array().cast("array<string>")), bad.alias("parse_error"), given(raw).alias("raw_response"),
-    )
+    none = F.array().cast("array<string>")
+    unread = F.lit("judge output could not be parsed")
+
+    def filled(j: Column) -> Column:
+        bad = j.isNull() | j["_bad"].isNotNull()
+
+        def kept(field: str, default: Column) -> Column:
+            return F.when(bad, default).otherwise(F.coalesce(j[field], default)).alias(field)
+
+        scores = (kept(f"{x}_score", F.lit(0)) for x in ("faithfulness", "groundedness", "safety"))
+        return F.struct(kept("status", F.lit("warning")), *scores, kept("comments", unread), kept("unsupported_claims", none), F.coalesce(bad, F.lit(True)).alias("parse_error"), given(raw).alias("raw_response"))
+
+    return let(F.from_json(json_object(raw), JUDGED + ", _bad string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}), filled)
 
 
 def judge_status(status: str | Column) -> Column:
