@@ -235,8 +235,8 @@ def abstract_chunks(records: DataFrame, most: int = 260, title: str = "title", a
     """Chunks of records' abstracts, packed by words; records without an abstract give none."""
     have = {c: fold(c) if c in records.columns else F.lit("") for c in ("pmid", "doi", "journal", "year", "source_url")}
     work = records.select(*(v.alias(k) for k, v in have.items()), fold(title).alias("title"), fold(abstract).alias("abstract")).where("abstract <> ''")
-    work = work.withColumn("s", split_sentences("abstract")).withColumn("s", F.when(F.size("s") > 0, F.col("s")).otherwise(F.array("abstract")))
-    each = work.withColumn("id", record_identifier()).select("*", F.posexplode(pack("s", most)).alias("k", "r"))
+    said = let(split_sentences("abstract"), lambda s: let(F.when(F.size(s) > 0, s).otherwise(F.array(F.col("abstract"))), lambda t: F.struct(t.alias("s"), pack(t, most).alias("p"))))
+    each = work.withColumns({"id": record_identifier(), "__b": said}).select("*", F.col("__b.s").alias("s"), F.posexplode("__b.p").alias("k", "r"))
     at, count = _at(F.col("r"))
     text = fold(F.array_join(F.slice("s", at, count), " "))
     url = F.when((F.col("source_url") == "") & (F.col("pmid") != ""), F.concat(F.lit("https://pubmed.ncbi.nlm.nih.gov/"), "pmid", F.lit("/"))).otherwise(F.col("source_url"))

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quillspark.functions.sentences import split_sentences, split_sentences_sql
-from quillspark.functions.text import word_count
+from quillspark.functions.text import let, word_count
 from quillspark.functions.vectors import dot
 from quillspark.operators import chunking as K
 from quillspark.plans import query, table
@@ -66,9 +68,14 @@ _MERGE_SQL = f"""merged AS (SELECT doc_id, n, list_reduce(range(2, len(r) + 1),
 m AS (SELECT doc_id, n, list_append(a.done, a.p) AS r FROM merged)"""
 
 
-def _ranged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.transform(split_sentences("text"), word_count).alias("n")).where("size(n) > 0")
-    return docs.withColumn("r", K.ranges(F.size("n"), F.transform(F.sequence(F.lit(1), F.size("n")), lambda k: k * 3)))
+def _ranged(spark: SparkSession, sf_dir: str, fold: Callable[[Column, Column], Column]) -> DataFrame:
+    """(doc_id, r): the fold of every third gap's ranges and the sentences' sizes, bound so that sentences are split once."""
+
+    def folded(n: Column) -> Column:
+        r = K.ranges(F.size(n), F.transform(F.sequence(F.lit(1), F.size(n)), lambda k: k * 3))
+        return F.when(F.size(n) > 0, fold(r, n)).otherwise(F.array().cast("array<struct<start:int,stop:int>>"))
+
+    return table(spark, sf_dir, "documents").select("doc_id", let(F.transform(split_sentences("text"), word_count), folded).alias("r"))
 
 
 def _exploded(df: DataFrame) -> DataFrame:
@@ -80,7 +87,7 @@ _EXPLODE_SQL = "SELECT doc_id, CAST(k AS INTEGER) AS chunk_index, CAST(r[k].star
 
 @query(f"WITH {_SENTENCES_SQL}, {_MERGE_SQL} {_EXPLODE_SQL.format('m')}")
 def q16_merge_short(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _exploded(_ranged(spark, sf_dir).withColumn("r", K.merge_short("r", "n", _SIZES)))
+    return _exploded(_ranged(spark, sf_dir, lambda r, n: K.merge_short(r, n, _SIZES)))
 
 
 _SPLIT_SQL = f"""each AS (SELECT doc_id, n, r[j] AS x FROM m, unnest(range(1, len(r) + 1)) AS u(j)),
@@ -93,7 +100,7 @@ parts AS (SELECT doc_id, unnest(CASE WHEN big THEN list_append(a.done, {{'start'
 @query(f"""WITH {_SENTENCES_SQL}, {_MERGE_SQL}, {_SPLIT_SQL}
 SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY p.start) AS INTEGER) AS chunk_index, CAST(p.start AS INTEGER) AS start, CAST(p.stop AS INTEGER) AS stop FROM parts""")
 def q17_split_oversized(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _exploded(_ranged(spark, sf_dir).withColumn("r", K.split_oversized(K.merge_short("r", "n", _SIZES), "n", _SIZES)))
+    return _exploded(_ranged(spark, sf_dir, lambda r, n: K.split_oversized(K.merge_short(r, n, _SIZES), n, _SIZES)))
 
 
 @query(f"""WITH t AS (SELECT doc_id, {split_sentences_sql('text')} AS s0, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS folded FROM documents),
