@@ -17,7 +17,7 @@ from quillspark.functions.text import CJK, UNIT, col, fold, fold_cjk, given
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Abbreviations whose full stop ends no sentence; longer ones are protected first.
-ABBREVIATIONS = ("Prof.", "e.g.", "i.e.", "Fig.", "fig.", "Mrs.", "Dr.", "Mr.", "Ms.", "vs.", "al.", "No.")
+ABBREVIATIONS = tuple("Prof. i.e. e.g. fig. Fig. Mrs. Ms. Mr. Dr. No. vs. al.".split())
 _HELD = "\x02"
 
 

@@ -92,7 +92,7 @@ SYSTEM = "角色：严谨的医学文献助手。只凭用户给的 Evidence 作
 
 
 def messages(prompt: str, system: str = SYSTEM) -> list[dict[str, str]]:
-    return [{"role": "system", "content": system}, {"role": "user", "content": prompt}]
+    return [dict(role=role, content=said) for role, said in (("system", system), ("user", prompt))]
 
 
 def generate(prompts: DataFrame, load: Callable[[], Generator], key: str = "query_id", prompt: str = "prompt", system: str = SYSTEM) -> DataFrame:

@@ -115,7 +115,7 @@ def classify_chunks(df: DataFrame, rules: Rules = Rules(), into: str = "decision
 
 
 def classify_records_cjk(df: DataFrame, into: str = "decision") -> DataFrame:
-    return classify_cjk(df, joined_text(df, "title", "keywords", "abstract", "journal"), into)
+    return classify_cjk(df, joined_text(df, *"title keywords abstract journal".split()), into)
 
 
 def classify_chunks_cjk(df: DataFrame, into: str = "decision") -> DataFrame:

@@ -35,13 +35,13 @@ def rule_columns(answer: str | Column, known: str | Column, min_citations: int =
         return F.when(when, F.struct(F.lit(severity).alias("severity"), F.lit(code).alias("code"), F.lit(message).alias("message")))
 
     issues = F.array(
-        issue(F.length(strip(answer)) < min_chars, "warning", "short_answer", "答案过短，可能没有充分总结 evidence。"),
-        issue(think, "fail", "think_leak", "答案包含模型思考过程标签。"),
-        issue(F.size(ids) == 0, "fail", "no_citation", "答案没有引用任何 evidence 编号。"),
-        issue((F.size(ids) > 0) & (F.size(ids) < min_citations), "warning", "low_citation_count", "答案引用的 evidence 数量偏少。"),
-        issue(F.size(unknown) > 0, "fail", "unknown_citation", "答案引用了 evidence 文件中不存在的编号。"),
-        issue(F.size(risk) > 0, "warning", "risk_terms", "答案包含过强承诺或高风险措辞。"),
-        issue(F.size(advice) > 0, "fail", "clinical_advice", "答案疑似给出了具体患者治疗建议。"),
+        issue(F.length(strip(answer)) < min_chars, "warning", "short_answer", "回答偏短，证据或未总结完整"),
+        issue(think, "fail", "think_leak", "回答带有思考标签"),
+        issue(F.size(ids) == 0, "fail", "no_citation", "回答未引用证据编号"),
+        issue((F.size(ids) > 0) & (F.size(ids) < min_citations), "warning", "low_citation_count", "引用的证据偏少"),
+        issue(F.size(unknown) > 0, "fail", "unknown_citation", "引用了不存在的证据编号"),
+        issue(F.size(risk) > 0, "warning", "risk_terms", "措辞承诺过强"),
+        issue(F.size(advice) > 0, "fail", "clinical_advice", "疑似个体治疗建议"),
     )
     # E-numbers by number, anything else after them by name.
     ordered = F.transform(F.array_sort(F.transform(F.array_distinct(have), lambda e: F.struct((~e.rlike("^E[0-9]+$")).alias("odd"), F.length(e).alias("n"), e.alias("e")))), lambda x: x["e"])

@@ -55,7 +55,7 @@ _RECORDS = """SELECT doc_id AS seq, source AS source_name, CAST(substr(source, 4
   CASE WHEN doc_id % 3 = 0 THEN substr(md5(text), 1, 10) ELSE '' END AS pmid, CASE WHEN doc_id % 5 = 0 THEN concat('pmc', doc_id) ELSE '' END AS pmcid,
   CASE WHEN doc_id % 4 = 0 THEN concat('10.1/', upper(substr(md5(text), 1, 8))) ELSE '' END AS doi, substr(text, 1, 60) AS title,
   CASE WHEN doc_id % 2 = 0 THEN text ELSE '' END AS abstract, source AS journal, CASE WHEN doc_id % 7 = 0 THEN '' ELSE lang END AS year FROM documents"""
-_COLUMNS = ("pmid", "pmcid", "title", "year", "journal", "doi", "abstract")
+_COLUMNS = R.FIELDS[:7]
 _TITLE_SQL = "trim(regexp_replace(lower(title), '\\s+', ' ', 'g'))"
 _MERGED_SQL = f"""WITH r AS ({_RECORDS}),
 k AS (SELECT *, CASE WHEN pmid <> '' THEN concat('pmid:', pmid) WHEN doi <> '' THEN concat('doi:', lower(doi)) ELSE concat('title:', {_TITLE_SQL}) END AS dedupe_key FROM r),

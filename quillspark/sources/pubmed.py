@@ -8,12 +8,11 @@ from __future__ import annotations
 import sys
 import json
 import time
-import urllib.parse
-import urllib.request
-import xml.etree.ElementTree as ET
 from collections.abc import Callable, Iterator
 from os import environ
 from pathlib import Path
+from urllib import parse, request
+from xml.etree import ElementTree as ET
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -33,7 +32,7 @@ Transport = Callable[[str], bytes]
 
 
 def over_network(url: str) -> bytes:
-    with urllib.request.urlopen(url, timeout=60) as response:
+    with request.urlopen(url, timeout=60) as response:
         return response.read()
 
 
@@ -41,8 +40,8 @@ def from_folder(folder: str) -> Transport:
     """Answers kept as files, named by the service's endpoint and the words of the query or the identifiers."""
 
     def fetch(url: str) -> bytes:
-        parts = urllib.parse.urlsplit(url)
-        asked = dict(urllib.parse.parse_qsl(parts.query))
+        parts = parse.urlsplit(url)
+        asked = dict(parse.parse_qsl(parts.query))
         name = f"{Path(parts.path).stem}-{asked.get('term') or asked.get('id')}"
         return (Path(folder) / ("".join(c if c.isalnum() else "_" for c in name) + ".xml")).read_bytes()
 
@@ -51,7 +50,7 @@ def from_folder(folder: str) -> Transport:
 
 def url_of(endpoint: str, **asked: str) -> str:
     own = {k: environ[v] for k, v in (("api_key", "NCBI_API_KEY"), ("email", "NCBI_EMAIL")) if environ.get(v)}
-    return f"{SERVICE}/{endpoint}?{urllib.parse.urlencode({'tool': 'quillspark', **asked, **own})}"
+    return f"{SERVICE}/{endpoint}?{parse.urlencode({'tool': 'quillspark', **asked, **own})}"
 
 
 def search_ids(query: str, most: int, fetch: Transport) -> list[str]:
