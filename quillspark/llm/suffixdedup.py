@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quillspark.llm.common import _powers, documents, lists, map_batches, mix, ship, signed, sliced, texts_of, window_hashes, word_hashes
@@ -175,8 +176,10 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     found = map_batches(texts, find, "doc_id bigint, th bigint, at array<int>, anchor array<bigint>")
     each = found.select("doc_id", "th", F.explode(F.arrays_zip("at", "anchor")).alias("x")).select("doc_id", "th", "x.at", "x.anchor")
     one = F.struct("doc_id", "th")
-    shared = each.groupBy("anchor").agg(F.min(one).alias("low"), F.max(one).alias("high")).where("low <> high").select("anchor")
-    wanted = each.join(shared, "anchor").groupBy("doc_id", "th").agg(F.collect_set(F.struct("at", "anchor")).alias("anchors"))
+    # A window over the anchor's occurrences: a join with the shared anchors would find all anchors twice.
+    same = W.partitionBy("anchor")
+    shared = each.select("*", F.min(one).over(same).alias("low"), F.max(one).over(same).alias("high")).where("low <> high")
+    wanted = shared.groupBy("doc_id", "th").agg(F.collect_set(F.struct("at", "anchor")).alias("anchors"))
 
     def contexts(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows = []
