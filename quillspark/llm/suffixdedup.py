@@ -35,7 +35,7 @@ MIN_WORDS = 50
 GRAM = 16
 WINDOW = MIN_WORDS - GRAM + 1
 #: Occurrences that are sorted at once; a bucket is never divided.
-CHUNK = 16_384
+CHUNK = 8_192
 
 
 def anchors(text: str, gram: int = GRAM, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
