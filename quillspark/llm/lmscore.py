@@ -4,13 +4,15 @@ The model predicts a word's representation as a sum of its two predecessors' rep
 component by component, and scores a word by the dot product with that prediction plus a bias.
 
 Vocabulary: words are counted over all documents; the ``VOCABULARY`` - 2 most frequent are kept, others are one
-unknown word. Training reads every document once, in ``ROUNDS`` rounds: in each, every task runs minibatches of
+class, UNKNOWN. Training reads every document once, in ``ROUNDS`` rounds: in each, every task runs minibatches of
 noise-contrastive estimation (noise words by their frequency) over its share of the round, starting from the same
 parameters, and the tasks' parameters are averaged by tokens seen. So what is gathered grows with the corpus, and no
 task holds more than a batch.
 
 Scoring: with two context words the normaliser of a context is a dot product of exponentials, so the
 normalisers of all contexts are one product of two square matrices, and a token's normalised log-probability is three look-ups.
+A word of the class UNKNOWN has the class's probability times that of its spelling among unknown words: a byte trigram model of all
+counted words outside the vocabulary, by their counts, without the mass it gives to words of the vocabulary.
 
 Defined results: null texts score null; a text without words predicts only its end; null doc_ids and repeated rows count and are scored
 like others; an empty table gives no rows; other columns are ignored.
@@ -20,6 +22,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -63,7 +66,10 @@ def count_words(docs: DataFrame) -> DataFrame:
 
 def choose_vocabulary(docs: DataFrame, size: int = VOCABULARY) -> tuple[list[str], np.ndarray]:
     """The most frequent words after the two special ones, and the relative frequency of each."""
-    counts = cut(count_words(docs))
+    return _vocabulary(cut(count_words(docs)), size)
+
+
+def _vocabulary(counts: DataFrame, size: int) -> tuple[list[str], np.ndarray]:
     # The limit stands below a projection: tasks send their own best to one task, not to the driver.
     top = counts.orderBy(F.desc("n"), "word").limit(size - 2).repartition(1).sortWithinPartitions(F.desc("n"), "word").collect()
     total = counts.agg(F.sum("n")).first()[0] or 0
@@ -73,6 +79,79 @@ def choose_vocabulary(docs: DataFrame, size: int = VOCABULARY) -> tuple[list[str
     return words, frequency / frequency.sum()
 
 
+_BOUND = 255  # no byte of UTF-8
+#: Weight of the shorter context where a longer one is rare.
+_BACK = 5.0
+
+
+def _trigrams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Byte trigrams of words that hold no white space, each word with two bounds before it and one after, as a row of three; where each word's rows begin."""
+    x = np.frombuffer(("\n".join(words) + "\n").encode(), np.uint8).copy()
+    ends = x == 10
+    x[ends] = _BOUND
+    before = np.concatenate([[_BOUND], x[:-1]]).astype(np.uint8)
+    first = np.concatenate([[_BOUND], before[:-1]]).astype(np.uint8)
+    first[before == _BOUND] = _BOUND
+    return np.stack([first, before, x], 1), np.concatenate([[0], np.flatnonzero(ends)[:-1] + 1])
+
+
+def count_trigrams(counts: DataFrame, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Codes and counts of the byte trigrams of all counted words outside the vocabulary; there are never more than 2 ** 24."""
+    ship(counts.sparkSession)
+    known = counts.sparkSession.sparkContext.broadcast(frozenset(words))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [(w, n) for w, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) if w not in known.value]
+            if not found:
+                continue
+            rows, starts = _trigrams([w for w, _ in found])
+            weights = np.repeat(np.array([n for _, n in found], np.int64), np.diff(np.append(starts, len(rows))))
+            codes, at = np.unique((rows.astype(np.int32) << np.array([16, 8, 0], np.int32)).sum(1, dtype=np.int32), return_inverse=True)
+            sums = np.zeros(len(codes), np.int64)
+            np.add.at(sums, at, weights)
+            yield pa.RecordBatch.from_arrays([pa.array(codes), pa.array(sums)], ["code", "n"])
+
+    found = counts.select("word", "n").mapInArrow(count, "code int, n bigint").groupBy("code").agg(F.sum("n").alias("n")).toArrow()
+    return found["code"].to_numpy(), found["n"].to_numpy()
+
+
+class Spelling:
+    """Log-probabilities of words among those outside the vocabulary; every string has one, also if it was never counted."""
+
+    def __init__(self, codes: np.ndarray, n: np.ndarray, words: list[str]):
+        parts = [(codes >> 16) & 255, (codes >> 8) & 255, codes & 255]
+        seen = np.unique(np.concatenate([[_BOUND], *parts]))
+        size, rest = len(seen) + 1, 256 - len(seen)  # the last is any byte that was never seen
+        self.place = np.full(256, size - 1, np.intp)
+        self.place[seen] = np.arange(len(seen))
+        a, b, c = (self.place[x] for x in parts)
+        one = np.bincount(c, n, size) + 1.0
+        one[-1] = rest
+        one /= one.sum()
+        two = np.bincount(b * size + c, n, size * size).reshape(size, size)
+        two = (two + _BACK * one) / (two.sum(1, keepdims=True) + _BACK)
+        self.table = np.empty((size, size, size), np.float32)
+        order = np.argsort(a, kind="stable")
+        bounds = np.searchsorted(a[order], np.arange(size + 1))
+        for k in range(size):
+            own = order[bounds[k] : bounds[k + 1]]
+            three = np.bincount(b[own] * size + c[own], n[own], size * size).reshape(size, size)
+            self.table[k] = np.log((three + _BACK * two) / (three.sum(1, keepdims=True) + _BACK))
+        self.table[:, :, -1] -= np.log(max(1, rest))
+        self.left = 0.0
+        # The empty string is no word either.
+        taken = float(np.exp(self.log_probabilities(words)).sum() + np.exp(self.table[(self.place[_BOUND],) * 3]))
+        self.left = float(np.log(max(1e-9, 1 - taken)))
+
+    def log_probabilities(self, words: list[str]) -> np.ndarray:
+        if not words:
+            return np.zeros(0)
+        rows, starts = _trigrams(words)
+        a, b, c = self.place[rows].T
+        return np.add.reduceat(self.table[a, b, c].astype(np.float64), starts) - self.left
+
+
 class Model:
     """r: context representations; q, b: target representations and biases; c: the scales of the two positions."""
 
@@ -143,7 +222,10 @@ class Numbers(dict):
 
 def word_ids(text: str, known: Numbers) -> np.ndarray:
     """Identifiers of a text's words between two edges before and one after."""
-    words = text.lower().split()
+    return _ids(text.lower().split(), known)
+
+
+def _ids(words: list[str], known: Numbers) -> np.ndarray:
     out = np.full(len(words) + 3, EDGE, np.int32)
     out[2:-1] = np.fromiter(map(known.__getitem__, words), np.int32, len(words))
     return out
@@ -216,30 +298,40 @@ class Tables:
         return self.first[w1, w] + self.second[w2, w] - self.log_sum[w1, w2]
 
 
-def score_documents(docs: DataFrame, model: Model, words: list[str]) -> DataFrame:
-    """(doc_id, n_words, log_prob, perplexity): log_prob sums over the words and the end, perplexity is per prediction."""
-    shared = docs.sparkSession.sparkContext.broadcast((model.flat(), words, model.r.shape[1]))
-    held: list[tuple[Tables, Numbers]] = []  # one for each task
+def score_documents(docs: DataFrame, model: Model, words: list[str], spelt: tuple[np.ndarray, np.ndarray] | None = None) -> DataFrame:
+    """(doc_id, n_words, log_prob, perplexity): log_prob sums over the words and the end, perplexity is per prediction.
+
+    spelt: what :func:`count_trigrams` found; without it a word outside the vocabulary has the probability of its whole class.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast((model.flat(), words, model.r.shape[1], spelt))
+    held: list[tuple[Tables, Numbers, Spelling | None]] = []  # one for each task
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         if not held:
-            flat, vocabulary, d = shared.value
-            held.append((Tables(Model.of(flat, len(vocabulary), d)), Numbers(vocabulary)))
-        tables, known = held[0]
+            flat, vocabulary, d, trigrams = shared.value
+            held.append((Tables(Model.of(flat, len(vocabulary), d)), Numbers(vocabulary), trigrams and Spelling(*trigrams, vocabulary[2:])))
+        tables, known, spelling = held[0]
         texts = texts_of(batch)
-        ids = [word_ids(t, known) for t in texts if t is not None]
-        sums = iter([(len(x) - 3, float(tables.log_probabilities(x).sum(dtype=np.float64))) for x in ids])
+        sums = iter([scored(t.lower().split(), tables, known, spelling) for t in texts if t is not None])
         found = [(None, None) if t is None else next(sums) for t in texts]
         perplexity = [None if n is None else float(np.exp(-s / (n + 1))) for n, s in found]
         return pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array([n for n, _ in found], pa.int32()), pa.array([s for _, s in found], pa.float64()), pa.array(perplexity, pa.float64())], ["doc_id", "n_words", "log_prob", "perplexity"]
         )
 
+    def scored(words: list[str], tables: Tables, known: Numbers, spelling: Spelling | None) -> tuple[int, float]:
+        ids = _ids(words, known)
+        log_prob = float(tables.log_probabilities(ids).sum(dtype=np.float64))
+        if spelling:
+            log_prob += float(spelling.log_probabilities(list(compress(words, ids[2:-1] == UNKNOWN))).sum())
+        return len(words), log_prob
+
     return map_batches(documents(docs), work, "doc_id bigint, n_words int, log_prob double, perplexity double")
 
 
 def lm_scores(docs: DataFrame, size: int = VOCABULARY, rounds: int = ROUNDS) -> DataFrame:
     """Train on docs and score them."""
     texts = documents(docs)
-    words, frequency = choose_vocabulary(texts, size)
-    return score_documents(docs, train(docs, words, frequency, rounds), words)
+    counts = cut(count_words(texts))
+    words, frequency = _vocabulary(counts, size)
+    return score_documents(docs, train(docs, words, frequency, rounds), words, count_trigrams(counts, words))

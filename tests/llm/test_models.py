@@ -224,6 +224,30 @@ def test_language_model_scores_match_a_direct_sum(spark):
         assert abs(r["log_prob"] - want) < 1e-3 * max(1, abs(want)) and r["n_words"] == len(ids) - 3
 
 
+def test_language_model_tells_unknown_words_apart(spark):
+    common = " ".join(["a b c"] * 9)
+    rows = [(k, f"{common} bald{'abcdefgh'[k % 8]}eren {common}") for k in range(40)]
+    docs = docs_of(spark, [*rows, (100, f"{common} baldaeren"), (101, f"{common} zq9éxkqq"), (102, f"{common} balderen")])
+    got = {r["doc_id"]: r["log_prob"] for r in lmscore.lm_scores(docs, 5).collect()}
+    assert got[100] > got[102] > got[101] + 5 or got[102] > got[100] > got[101] + 5
+
+
+def test_spelling_is_a_distribution_over_unknown_words(spark):
+    import itertools
+
+    counts = spark.createDataFrame([("ab", 6), ("a", 5), ("b", 2), ("ba", 1), ("bb", 9)], "word string, n bigint")
+    spelling = lmscore.Spelling(*lmscore.count_trigrams(counts, ["\x00unknown", "\x00edge", "bb"]), ["bb"])
+    strings = ["".join(x) for n in range(1, 14) for x in itertools.product("ab", repeat=n)]
+    total = np.exp(spelling.log_probabilities([x for x in strings if x != "bb"])).sum()
+    # What is left are longer strings and those with other bytes.
+    assert 0.4 < total < 1
+    each = {w: float(spelling.log_probabilities([w])[0]) for w in ("ab", "a", "ba", "é", "x")}
+    assert each["ab"] > each["ba"] > each["x"] > each["é"] and np.allclose(spelling.log_probabilities(list(each)), list(each.values()))
+    # All bytes that may follow one context.
+    alphabet = np.concatenate([spelling.table[0, 0, :-1], np.full(256 - len(np.unique(spelling.place)) + 1, spelling.table[0, 0, -1])])
+    assert abs(np.exp(alphabet.astype(float)).sum() - 1) < 1e-3
+
+
 def test_language_model_edges(spark):
     got = lmscore.lm_scores(docs_of(spark, EDGE)).collect()
     assert len(got) == len(EDGE) and all(math.isfinite(r["perplexity"]) for r in got if r["doc_id"] != 9001)
