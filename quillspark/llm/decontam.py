@@ -1,12 +1,15 @@
 """Benchmark decontamination by templates.
 
 Words are canonicalised: numbers, names (capitalised words that do not begin a sentence; a run counts as one)
-and units (a unit word after a number, or one written onto it) become typed placeholders, other words lose case
-and surrounding punctuation. Every window of ``width`` canonical words of a document is looked up by
+and quantities (a number with a unit word after it, a unit written onto it or a currency sign) become typed placeholders, one each,
+other words lose case and surrounding punctuation. A line break may end a sentence or not, so a document is read both ways where that
+makes a difference. Every window of ``width`` canonical words of a document is looked up by
 hash among the windows of the benchmark items; matches are confirmed on the template's text. Matched windows of a
-document and an item that lie on one diagonal are one occurrence. In an occurrence each of the item's slot values must
-stand for one value of its type in the document, and no two for the same one; where that fails the occurrence is
-no re-parameterised copy and is dropped. A document is contaminated by an item if an occurrence holds at least
+document and an item that lie on one diagonal are one occurrence; it is joined by those of diagonals up to ``MOST_SHIFTED`` words away that
+keep the order of both texts, so words may be added or left out. In an occurrence each of the item's slot values must
+stand for one value of its type in the document, and no two for the same one; where that fails on a diagonal it is
+no re-parameterised copy and is dropped, and a diagonal that contradicts the others isn't joined. Names at the ends of a diagonal's
+matches aren't compared, since a run of names may go on beyond them. A document is contaminated by an item if an occurrence holds at least
 ``min_coverage`` of the item's windows.
 
 Defined results: null or empty texts, and documents with a null doc_id, match nothing; items with a null id or
@@ -18,6 +21,7 @@ empty tables give no rows; other columns are ignored.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +34,8 @@ WIDTH = 8
 MIN_WORDS = 5
 MIN_LITERAL = 4
 MIN_COVERAGE = 0.5
+#: Canonical words by which an occurrence may drift from its main diagonal.
+MOST_SHIFTED = 8
 #: Benchmark windows up to this number (8 bytes each) are sent to the executors as a first filter; beyond it every window is shuffled and hash-joined.
 MOST_SENT = 4_000_000
 
@@ -40,9 +46,10 @@ UNITS = frozenset(
     "year years dollar dollars euro euros cent cents percent degree degrees watt watts volt volts stunde stunden tag tage woche wochen jahr jahre heure heures jour jours "
     "semaine semaines mois an ans hora horas dia dias semana semanas mes meses año años".split()
 )
-_NUMBER = re.compile(r"[-+]?[$€£]?(?:\d+(?:[.,:/]\d+)*)([^\W\d_]+|[%°])?")
+_NUMBER = re.compile(r"[-+]?[$€£]?(?:\d+(?:[.,:/]\d+)*)([^\W\d_]+|[%°$€£])?")
+_CURRENCY = {"$": "dollars", "€": "euros", "£": "pounds"}
 _ENDS, _NUM, _UNIT, _NAME, _UNITED = 1, 2, 4, 8, 16
-_KINDS = {"<number>": hash64("<number>"), "<unit>": hash64("<unit>"), "<name>": hash64("<name>"), "<quantity>": hash64("<quantity>")}
+_KINDS = {"<number>": hash64("<number>"), "<name>": hash64("<name>"), "<quantity>": hash64("<quantity>")}
 _STRIP = "\"'`“”‘’«».,;:!?()[]{}<>…*_~|"
 
 
@@ -59,8 +66,8 @@ def _packed(word: str) -> int:
     if not inner:
         return flags  # punctuation alone: no word
     m = _NUMBER.fullmatch(inner)
-    if m and (m[1] is None or m[1].lower() in UNITS):
-        flags |= _NUM | (_UNITED if m[1] else 0)
+    if m and (m[1] is None or m[1] in _CURRENCY or m[1].lower() in UNITS):
+        flags |= _NUM | (_UNITED if m[1] or any(c in inner for c in _CURRENCY) else 0)
     elif inner.lower() in UNITS:
         flags |= _UNIT
     if inner[0].isupper() and len(inner) > 1 and not inner.isupper():
@@ -74,7 +81,26 @@ _PACKED = Bounded(_packed)
 def canonical(text: str) -> tuple[np.ndarray, np.ndarray, list[str]]:
     """Hashes of the canonical words of a text, for each the index of its first raw word, and the raw words."""
     words = text.split()
+    return _canonical(words, np.fromiter(map(_PACKED.__getitem__, words), np.uint64, len(words)))
+
+
+def readings(text: str) -> list[tuple[np.ndarray, np.ndarray, list[str]]]:
+    """:func:`canonical`, and a second time with line breaks as ends of sentences if that makes a difference."""
+    lines = [line.split() for line in text.splitlines()]
+    words = [w for line in lines for w in line]
     x = np.fromiter(map(_PACKED.__getitem__, words), np.uint64, len(words))
+    found = [_canonical(words, x)]
+    begin = np.unique(np.cumsum([len(line) for line in lines])[:-1])
+    begin = begin[(begin > 0) & (begin < len(x))]
+    open_ends = begin[((x[begin] & np.uint64(_NAME | _UNIT)) > 0) & ((x[begin - 1] & np.uint64(_ENDS)) == 0)]
+    if len(open_ends):
+        ended = x.copy()
+        ended[open_ends - 1] |= np.uint64(_ENDS)
+        found.append(_canonical(words, ended))
+    return found
+
+
+def _canonical(words: list[str], x: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[str]]:
     if not len(x):
         return x, np.zeros(0, np.int64), words
     flags = (x & np.uint64(31)).astype(np.uint8)
@@ -91,16 +117,17 @@ def canonical(text: str) -> tuple[np.ndarray, np.ndarray, list[str]]:
     numbers = (flags & _NUM) > 0
     units = np.zeros(len(x), bool)
     if len(x):
-        units[1:] = ((flags[1:] & _UNIT) > 0) & numbers[:-1] & ((flags[:-1] & _UNITED) == 0)
+        units[1:] = ((flags[1:] & _UNIT) > 0) & numbers[:-1] & ((flags[:-1] & _UNITED) == 0) & ~starts[1:]
     names = ((flags & _NAME) > 0) & ~starts & ~numbers & ~units
     out = x & ~np.uint64(31)
     out[numbers] = _KINDS["<number>"]
     out[numbers & ((flags & _UNITED) > 0)] = _KINDS["<quantity>"]
-    out[units] = _KINDS["<unit>"]
+    out[np.flatnonzero(units) - 1] = _KINDS["<quantity>"]
     out[names] = _KINDS["<name>"]
     run = np.zeros(len(x), bool)
     run[1:] = names[1:] & names[:-1]
-    return out[~run], kept[~run], words
+    whole = ~(run | units)
+    return out[whole], kept[whole], words
 
 
 _PLACEHOLDERS = np.array(sorted(_KINDS.values()), np.uint64)
@@ -127,12 +154,18 @@ def _describe(hashes: np.ndarray, first: np.ndarray, words: list[str], at: int,
             raw = [c for c in raw if c[0].isupper()]
         template.append(kind or raw[0].lower())
         if kind:
-            slots.append(f"{kind}\x1f{' '.join(raw).lower()}")
+            value = " ".join(raw).lower()
+            if kind == "<quantity>":
+                value = value.replace(" ", "")
+                for sign, name in _CURRENCY.items():
+                    if sign in value:
+                        value = value.replace(sign, "") + name
+            slots.append(f"{kind}\x1f{value}")
     return " ".join(template), slots
 
 
-_FOUND = pa.schema([("id", pa.int64()), ("size", pa.int32()), ("at", pa.int32()), ("window", pa.int64()), ("template", pa.string()), ("slots", pa.list_(pa.string())), ("n_windows", pa.int32())])
-_DDL = "id bigint, size int, at int, window bigint, template string, slots array<string>, n_windows int"
+_FOUND = pa.schema([("id", pa.int64()), ("reading", pa.int32()), ("size", pa.int32()), ("at", pa.int32()), ("window", pa.int64()), ("template", pa.string()), ("slots", pa.list_(pa.string())), ("n_windows", pa.int32())])
+_DDL = "id bigint, reading int, size int, at int, window bigint, template string, slots array<string>, n_windows int"
 
 
 def _emit(batch: pa.RecordBatch, sizes: list[int], min_literal: int, wanted: np.ndarray | None, whole: tuple[int, int] | None) -> pa.RecordBatch:
@@ -141,24 +174,78 @@ def _emit(batch: pa.RecordBatch, sizes: list[int], min_literal: int, wanted: np.
     for doc_id, text in zip(batch.column(0).to_pylist(), texts_of(batch)):
         if doc_id is None or not text:
             continue
-        hashes, first, words = canonical(text)
-        widths = sizes
-        if whole is not None:
-            width, least = whole
-            widths = [width] if len(hashes) >= width else [len(hashes)] if len(hashes) >= least else []
-        for width in widths:
-            found, usable = _windows(hashes, width, min(min_literal, width))
-            n = int(usable.sum())
-            if wanted is not None and n:
-                at = np.searchsorted(wanted, found)
-                usable &= wanted[np.minimum(at, len(wanted) - 1)] == found if len(wanted) else False
-            for k in np.flatnonzero(usable).tolist():
-                template, slots = _describe(hashes, first, words, k, width)
-                rows.append((doc_id, width, k, int(found[k : k + 1].view(np.int64)[0]), template, slots, n))
+        for reading, (hashes, first, words) in enumerate([canonical(text)] if whole is not None else readings(text)):
+            widths = sizes
+            if whole is not None:
+                width, least = whole
+                widths = [width] if len(hashes) >= width else [len(hashes)] if len(hashes) >= least else []
+            for width in widths:
+                found, usable = _windows(hashes, width, min(min_literal, width))
+                n = int(usable.sum())
+                if wanted is not None and n:
+                    at = np.searchsorted(wanted, found)
+                    usable &= wanted[np.minimum(at, len(wanted) - 1)] == found if len(wanted) else False
+                for k in np.flatnonzero(usable).tolist():
+                    template, slots = _describe(hashes, first, words, k, width)
+                    rows.append((doc_id, reading, width, k, int(found[k : k + 1].view(np.int64)[0]), template, slots, n))
     columns = list(zip(*rows)) if rows else [[] for _ in _FOUND]
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _FOUND)], schema=_FOUND)
 
 
+def _joined(forth: dict[str, str], back: dict[str, str], pairs: list[tuple[str, str]]) -> tuple[dict[str, str], dict[str, str]] | None:
+    """Both maps with the pairs added, or None if they contradict."""
+    forth, back = dict(forth), dict(back)
+    for a, b in pairs:
+        if forth.setdefault(a, b) != b or back.setdefault(b, a) != a:
+            return None
+    return forth, back
+
+
+def _pairs(hits: list[dict]) -> list[tuple[str, str]]:
+    """Slot values of an item and a document on one diagonal, without names at its ends; hits are in order."""
+    found = []
+    for k, h in enumerate(hits):
+        own = list(zip(h["item_slots"], h["slots"]))
+        if k == len(hits) - 1 and h["template"].endswith("<name>"):
+            own = own[:-1]
+        if k == 0 and h["template"].startswith("<name>"):
+            own = own[1:]
+        found += own
+    return list(dict.fromkeys(found))
+
+
+def best_chain(hits: list[dict], most: int, least: float = 0.0) -> int:
+    """The most item windows in one occurrence, of at most ``most``; an occurrence below ``least`` needn't be found."""
+    by: dict[int, list[dict]] = {}
+    for h in sorted(hits, key=lambda h: h["item_at"]):
+        by.setdefault(h["at"] - h["item_at"], []).append(h)
+    best, pairs = 0, {}
+    for d in sorted(by, key=lambda d: (-len(by[d]), d)):
+        near = [d] + [d + sign * k for k in range(1, MOST_SHIFTED + 1) for sign in (1, -1) if d + sign * k in by]
+        possible = len({h["item_at"] for x in near for h in by[x]})
+        if possible <= best or possible < least:
+            continue
+        if d not in pairs:
+            pairs[d] = _pairs(by[d])
+        maps = _joined({}, {}, pairs[d])
+        if maps is None:
+            continue
+        chain = [(h["item_at"], h["at"]) for h in by[d]]
+        for x in near[1:]:
+            fits = []
+            for h in by[x]:
+                k = bisect_left(chain, (h["item_at"],))
+                if (k == 0 or chain[k - 1][1] < h["at"]) and (k == len(chain) or chain[k][0] > h["item_at"] and chain[k][1] > h["at"]):
+                    fits.append(h)
+            grown = fits and _joined(*maps, _pairs(fits))
+            if grown:
+                maps, chain = grown, sorted(chain + [(h["item_at"], h["at"]) for h in fits])
+        best = max(best, len(chain))
+        if best >= most:
+            break
+    return best
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, min_words: int = MIN_WORDS, min_literal: int = MIN_LITERAL, min_coverage: float = MIN_COVERAGE, most_sent: int = MOST_SENT) -> DataFrame:
     """(doc_id, item_id, coverage): the items that contaminate each document, with the covered share of the item's windows."""
     items = documents(benchmark, "item_id", "text").dropDuplicates()
@@ -173,18 +260,20 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, min
         wanted = spark.sparkContext.broadcast(np.sort(sent))
     texts = documents(docs).where("doc_id is not null and text <> ''")
     found = map_batches(texts, lambda b: _emit(b, sizes, min_literal, None if wanted is None else wanted.value, None), _DDL)
-    found = found.select(F.col("id").alias("doc_id"), "size", "at", "window", "template", "slots")
-    hits = found.join(windows, ["size", "window"]).where("template = item_template").withColumn("diagonal", F.col("at") - F.col("item_at"))
-    pairs = F.expr("transform(arrays_zip(item_slots, slots), p -> struct(p.item_slots as a, p.slots as b))")
-    occurrences = hits.groupBy("doc_id", "item_id", "diagonal").agg(
-        F.countDistinct("item_at").alias("matched"),
-        F.max("n_windows").alias("n_windows"),
-        F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"),
-    )
-    consistent = "size(pairs) = size(array_distinct(transform(pairs, p -> p.a))) and size(pairs) = size(array_distinct(transform(pairs, p -> p.b)))"
+    found = found.select(F.col("id").alias("doc_id"), "reading", "size", "at", "window", "template", "slots")
+    hits = found.join(windows, ["size", "window"]).where("template = item_template")
+    hits = hits.groupBy("doc_id", "item_id", "reading").agg(F.max("n_windows").alias("n_windows"), F.collect_set(F.struct("at", "item_at", "template", "item_slots", "slots")).alias("hits"))
+    # Fewer matches than that are no occurrence, however they lie.
+    hits = hits.where(F.size("hits") >= F.col("n_windows") * min_coverage - 1)
+
+    def chained(batch: pa.RecordBatch) -> pa.RecordBatch:
+        rows = batch.to_pylist()
+        shares = [best_chain(r["hits"], r["n_windows"], r["n_windows"] * min_coverage - 1) / r["n_windows"] for r in rows]
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(shares, pa.float64())], ["doc_id", "item_id", "coverage"])
+
     return (
-        occurrences.where(consistent)
+        map_batches(hits, chained, "doc_id bigint, item_id bigint, coverage double")
         .groupBy("doc_id", "item_id")
-        .agg(F.round(F.max(F.col("matched") / F.col("n_windows")), 6).alias("coverage"))
-        .where(F.col("coverage") >= min_coverage)
+        .agg(F.round(F.max("coverage"), 6).alias("coverage"))
+        .where((F.col("coverage") >= min_coverage) & (F.col("coverage") > 0))
     )

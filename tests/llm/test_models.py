@@ -161,6 +161,22 @@ def test_decontamination_cases(spark):
     assert decontam.decontaminate(docs.limit(0), items).count() == 0 and decontam.decontaminate(docs, items.limit(0)).count() == 0
 
 
+def test_decontamination_of_changed_copies(spark):
+    first = "we packed the blue crates with fresh apples before the long trip across the wide valley and then"
+    item = f"{first} sold them all for 12 km of strong rope to some old farmers near the quiet lake"
+    named = "if Alice has three old books and gives Alice two more of the same books then how many are left there"
+    rows = [
+        (1, item.replace("and then", "and only then")), (2, item.replace("and then", "then")), (3, item.replace("12 km", "40km")), (4, item.replace("12 km", "$5")), (5, item.replace("12 km", "5 dollars")),
+        (6, f"some heading here\n{named.capitalize().replace('alice', 'Alice')}"), (7, f"as we said to Mary {named[3:]}"), (8, item.replace(" ", "\n")), (9, " ".join(reversed(item.split()))),
+        (10, named.replace("Alice two", "Mary two")), (11, first), (12, f"{first} and {' '.join(item.split()[18:24])}"), (13, "some heading here\n" + named.replace("if Alice", "If Rosa").replace("gives Alice", "gives Rosa")),
+    ]
+    items = spark.createDataFrame([(1, item), (2, named)], "item_id bigint, text string")
+    got = {(r["doc_id"], r["item_id"]): r["coverage"] for r in decontam.decontaminate(docs_of(spark, rows), items).collect()}
+    assert {(1, 1), (2, 1), (3, 1), (4, 1), (5, 1), (6, 2), (7, 2), (8, 1), (13, 2)} <= set(got)
+    assert not {d for d, _ in got} & {9, 10, 11, 12}
+    assert got[3, 1] == got[4, 1] == got[5, 1] == got[8, 1] == 1 and 0.6 < got[1, 1] < 0.9
+
+
 def brute_windows(text, width=decontam.WIDTH):
     hashes, _, _ = decontam.canonical(text)
     return {tuple(hashes[i : i + width].tolist()) for i in range(len(hashes) - width + 1)}
