@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import gc
 import io
+import shutil
 import tempfile
 import uuid
 import weakref
@@ -50,7 +53,9 @@ def shared_dir(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         at = getattr(sc, "_quillspark_local", None)
         if not at:
-            at = sc._quillspark_local = "file://" + tempfile.mkdtemp(prefix="quillspark-")
+            folder = tempfile.mkdtemp(prefix="quillspark-")
+            atexit.register(shutil.rmtree, folder, ignore_errors=True)
+            at = sc._quillspark_local = "file://" + folder
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         sc.setCheckpointDir(at)
     return at
@@ -66,10 +71,49 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """The same rows as a Parquet table in the shared folder, so that later reads prune columns."""
     spark = df.sparkSession
     at = f"{shared_dir(spark)}/quillspark/{name}-{uuid.uuid4().hex}"
+    _tables(spark).append(at)
     df.write.parquet(at)
     return spark.read.schema(df.schema).parquet(at)
 
 
+def _tables(spark: SparkSession) -> list[str]:
+    sc = spark.sparkContext
+    if not hasattr(sc, "_quillspark_tables"):
+        sc._quillspark_tables = []
+    return sc._quillspark_tables
+
+
+def clean(spark: SparkSession, since: int = 0, keep: int = 0) -> int:
+    """Delete the tables that :func:`written` has made after the first ``since``, but for the last ``keep``; how many there are then.
+
+    Only for tables that nothing will read again.
+    """
+    paths = _tables(spark)
+    gone = paths[since : len(paths) - keep]
+    for at in gone:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(at)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    paths[since : len(paths) - keep] = []
+    return len(paths)
+
+
+def unused(names: list[str], *wanted: str) -> list[str]:
+    """The wanted names, with underscores before them as far as needed to be none of ``names``, whatever the case."""
+    taken, out = {n.lower() for n in names}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+        taken.add(name.lower())
+    return out
+
+
+def release(spark: SparkSession) -> None:
+    """Let go of the shuffle files of steps that nothing refers to any more; Spark does so when the driver's garbage is collected."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only (doc_id bigint, text string), whatever else the table holds."""
     return df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))

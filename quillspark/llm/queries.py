@@ -24,7 +24,7 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.similar_pairs(table(spark, sf_dir, "documents"))
+    return jaccard.similar_documents(table(spark, sf_dir, "documents"))
 
 
 def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,6 +70,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op4_ngram_jaccard_join": jaccard.SQL,
         "op6_line_dedup": linededup.SQL.format(table="documents", min_chars=linededup.MIN_CHARS),
         "op7_exact_dedup": exactdup.SQL,
     }
