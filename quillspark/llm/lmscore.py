@@ -1,17 +1,22 @@
 """LM scoring: a log-bilinear model trained in numpy by noise-contrastive estimation.
 
-The model predicts a word's representation as a sum of its two predecessors' representations, each scaled
-component by component, and scores a word by the dot product with that prediction plus a bias.
-
-Vocabulary: words are counted over all documents; the ``VOCABULARY`` - 2 most frequent are kept, others are one
-class, UNKNOWN. Training reads every document once, in ``ROUNDS`` rounds: in each, every task runs minibatches of
-noise-contrastive estimation (noise words by their frequency) over its share of the round, starting from the same
-parameters, and the tasks' parameters are averaged by tokens seen. So what is gathered grows with the corpus, and no
-task holds more than a batch.
-
-Scoring: with two context words the normaliser of a context is a dot product of exponentials, so the
-normalisers of all contexts are one product of two square matrices, and a token's normalised log-probability is three look-ups.
-A word of the class UNKNOWN has the class's probability times that of its spelling among unknown words: a byte trigram model of all
+The model predicts a representation as a sum of the two predecessors' representations, each scaled
+component by component, and scores by dot products with that prediction plus a bias.
+
+Vocabulary: words are counted over all documents, and words at or above a frequency have parameters of their own: the lowest frequency that at most
+:func:`vocabulary_size` words reach, a number that grows with the root of the corpus. Other words are one class, UNKNOWN, told apart by spelling.
+
+Words in order of frequency are cut into about as many classes as a class has words. A word's probability is that of its
+class times that of the word within its class, both log-bilinear in the same prediction. So the normaliser of a token is two sums of a root of the
+vocabulary's size each, and batched matrix products give the normalised log-probabilities of all tokens of a batch: one product
+with all classes, and for each class one of its tokens with its words. Nothing is the size of the vocabulary squared.
+
+Training reads every document once, in ``ROUNDS`` rounds: in each, every task runs minibatches of noise-contrastive estimation over its share
+of the round, starting from the same parameters; noise classes come by their frequency, noise words by theirs within the class. A task
+returns what has changed for the words that it has seen, in blocks, and changes are averaged by occurrences. So what is gathered grows with the
+corpus, and no task holds more than a batch and the parameters. Since tasks are averaged, scores depend a little on how the table is split.
+
+Scoring: a word of the class UNKNOWN has the class's probability times that of its spelling among unknown words: a byte trigram model of all
 counted words outside the vocabulary, by their counts, without the mass it gives to words of the vocabulary.
 
 Defined results: null texts score null; a text without words predicts only its end; null doc_ids and repeated rows count and are scored
@@ -22,7 +27,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from itertools import compress
+from itertools import compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -31,15 +36,17 @@ from pyspark.sql import functions as F
 
 from quillspark.llm.common import cut, documents, map_batches, ship, sliced, texts_of
 
-VOCABULARY = 2048
+#: Least and most words with parameters of their own (bytes that are sent to the executors: 260 for each), and words for each root of the number of tokens.
+LEAST_WORDS, MOST_WORDS, PER_ROOT = 2048, 1 << 18, 2.0
 DIMENSIONS = 32
-NOISE = 32
+#: Noise classes for a batch, and noise words for each class of a batch.
+NOISE, NOISE_WORDS = 32, 8
 ROUNDS = 3
 BATCH = 8192
 RATE = 0.06
 UNKNOWN, EDGE = 0, 1
 _MOST_COUNTED = 400_000
-_BLOCK = 2048
+_BLOCK = 256
 
 
 def count_words(docs: DataFrame) -> DataFrame:
@@ -64,15 +71,27 @@ def count_words(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def choose_vocabulary(docs: DataFrame, size: int = VOCABULARY) -> tuple[list[str], np.ndarray]:
+def vocabulary_size(tokens: int) -> int:
+    return int(min(MOST_WORDS, max(LEAST_WORDS, PER_ROOT * tokens**0.5)))
+
+
+def choose_vocabulary(docs: DataFrame, size: int | None = None) -> tuple[list[str], np.ndarray]:
     """The most frequent words after the two special ones, and the relative frequency of each."""
     return _vocabulary(cut(count_words(docs)), size)
 
 
-def _vocabulary(counts: DataFrame, size: int) -> tuple[list[str], np.ndarray]:
-    # The limit stands below a projection: tasks send their own best to one task, not to the driver.
-    top = counts.orderBy(F.desc("n"), "word").limit(size - 2).repartition(1).sortWithinPartitions(F.desc("n"), "word").collect()
-    total = counts.agg(F.sum("n")).first()[0] or 0
+def _vocabulary(counts: DataFrame, size: int | None) -> tuple[list[str], np.ndarray]:
+    # Frequencies in steps of a sixteenth of a doubling: a few hundred rows, whatever the corpus.
+    step = F.floor(16 * F.log2("n"))
+    steps = counts.groupBy(step.alias("step")).agg(F.count("*").alias("words"), F.sum("n").alias("n")).collect()
+    total = sum(r["n"] for r in steps)
+    size, lowest, reached = size or vocabulary_size(total), 1 << 30, 2
+    for r in sorted(steps, key=lambda r: -r["step"]):
+        reached += r["words"]
+        if reached > size:
+            break
+        lowest = r["step"]
+    top = sorted(counts.where(step >= lowest).collect(), key=lambda r: (-r["n"], r["word"]))  # at most size words
     words = ["\x00unknown", "\x00edge", *(r["word"] for r in top)]
     known = np.array([r["n"] for r in top], np.float64)
     frequency = np.concatenate([[max(1.0, total - known.sum()), max(1.0, total / 100)], known])
@@ -153,149 +172,248 @@ class Spelling:
 
 
 class Model:
-    """r: context representations; q, b: target representations and biases; c: the scales of the two positions."""
+    """words: for each word its context representation r, target representation q and bias b; scales of the two positions; classes: s and biases t.
 
-    def __init__(self, r: np.ndarray, q: np.ndarray, b: np.ndarray, c: np.ndarray):
-        self.r, self.q, self.b, self.c = r, q, b, c
+    Class k has the words from ``k * width`` on.
+    """
+
+    def __init__(self, words: np.ndarray, scales: np.ndarray, s: np.ndarray, t: np.ndarray):
+        d = s.shape[1]
+        self.words, self.scales, self.s, self.t, self.width = words, scales, s, t, class_width(len(words))
+        self.r, self.q, self.b = words[:, :d], words[:, d : 2 * d], words[:, 2 * d]
 
     @classmethod
     def fresh(cls, frequency: np.ndarray, dimensions: int = DIMENSIONS, seed: int = 5) -> Model:
-        rng, v = np.random.default_rng(seed), len(frequency)
-        draw = lambda: rng.normal(0, 0.3, (v, dimensions)).astype(np.float32)
-        return cls(draw(), draw() * np.float32(0.3), np.log(frequency).astype(np.float32), np.full((2, dimensions), 0.5, np.float32))
+        rng, v, d = np.random.default_rng(seed), len(frequency), dimensions
+        of_class = class_frequency(frequency)
+        words = rng.normal(0, 0.3, (v, 2 * d + 1)).astype(np.float32)
+        words[:, d : 2 * d] *= np.float32(0.3)
+        words[:, 2 * d] = np.log(frequency / of_class[np.arange(v) // class_width(v)])
+        return cls(words, np.full((2, d), 0.5, np.float32), rng.normal(0, 0.1, (len(of_class), d)).astype(np.float32), np.log(of_class).astype(np.float32))
+
+    def dense(self) -> np.ndarray:
+        """What does not belong to a word."""
+        return np.concatenate([self.scales.ravel(), self.s.ravel(), self.t])
+
+    def with_dense(self, flat: np.ndarray) -> Model:
+        d, k = self.s.shape[1], len(self.t)
+        scales, s, t = np.split(flat.astype(np.float32), [2 * d, 2 * d + k * d])
+        return Model(self.words.copy(), scales.reshape(2, d).copy(), s.reshape(k, d).copy(), t.copy())
+
+    def copy(self) -> Model:
+        return Model(self.words.copy(), self.scales.copy(), self.s.copy(), self.t.copy())
+
+    def log_probabilities(self, w1: np.ndarray, w2: np.ndarray, w: np.ndarray) -> np.ndarray:
+        """Normalised log-probability of each w after w1, w2."""
+        context, k = self.scales[0] * self.r[w1] + self.scales[1] * self.r[w2], w // self.width
+        scores = context @ self.s.T + self.t
+        out = _chosen(scores, k)
+        order = np.argsort(k, kind="stable")
+        begins = np.flatnonzero(np.r_[True, k[order][1:] != k[order][:-1]]) if len(k) else k
+        for a, b in zip(begins, np.r_[begins[1:], len(k)]):
+            at = order[a:b]
+            own = slice(int(k[at[0]]) * self.width, (int(k[at[0]]) + 1) * self.width)
+            out[at] += _chosen(context[at] @ self.q[own].T + self.b[own], w[at] - own.start)
+        return out
+
+
+def class_width(v: int) -> int:
+    """Words of a class, for about as many classes."""
+    return int(np.ceil(v**0.5))
+
+
+def class_frequency(frequency: np.ndarray) -> np.ndarray:
+    return np.add.reduceat(frequency, np.arange(0, len(frequency), class_width(len(frequency))))
+
+
+def _chosen(scores: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """Row by row, the chosen score less the logarithm of the sum of exponentials."""
+    top = scores.max(1)
+    picked = scores[np.arange(len(scores)), chosen]
+    scores -= top[:, None]
+    np.exp(scores, out=scores)
+    return (picked - top).astype(np.float64) - np.log(scores.sum(1, dtype=np.float64))
+
+
+def _sums(index: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct indices and the sum of the rows of each."""
+    order = np.argsort(index, kind="stable")
+    begins = np.flatnonzero(np.r_[True, index[order][1:] != index[order][:-1]])
+    return index[order][begins], np.add.reduceat(rows[order], begins, axis=0)
+
+
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+
+
+class Noise:
+    """Draws noise classes by frequency and noise words by frequency within each class, and knows the logarithms of their rates."""
+
+    def __init__(self, frequency: np.ndarray, classes: int = NOISE, words: int = NOISE_WORDS, seed: int = 0):
+        self.classes, self.words, self.rng = classes, words, np.random.default_rng(seed)
+        of_class, self.width = class_frequency(frequency), class_width(len(frequency))
+        self.first = np.arange(0, len(frequency), self.width)
+        self.of_class, self.edges = np.cumsum(of_class), np.cumsum(frequency)
+        self.low, self.mass = self.edges[self.first] - frequency[self.first], of_class
+        self.prior_class = np.log(classes * of_class).astype(np.float32)
+        self.prior_word = np.log(words * frequency / of_class[np.arange(len(frequency)) // self.width]).astype(np.float32)
+
+    def draw(self) -> tuple[np.ndarray, np.ndarray]:
+        """Classes, and for each class words of its own."""
+        k = np.minimum(np.searchsorted(self.of_class, self.rng.random(self.classes) * self.of_class[-1]), len(self.first) - 1)
+        at = np.searchsorted(self.edges, self.low[:, None] + self.rng.random((len(self.first), self.words)) * self.mass[:, None])
+        return k, np.clip(at, self.first[:, None], np.minimum(self.first + self.width, len(self.edges))[:, None] - 1)
+
+
+def contrast(m: Model, noise: Noise, w1: np.ndarray, w2: np.ndarray, w: np.ndarray, bad: np.ndarray, bad_words: np.ndarray) -> tuple[float, dict]:
+    """The objective of a batch against noise classes and words, and its gradient: dense parts whole, those of words as (words, rows)."""
+    order = np.argsort(w, kind="stable")
+    w1, w2, w = w1[order], w2[order], w[order]
+    r1, r2, k = m.r[w1], m.r[w2], w // m.width
+    context = m.scales[0] * r1 + m.scales[1] * r2
+    good = np.einsum("ij,ij->i", context, m.s[k]) + m.t[k] - noise.prior_class[k]
+    wrong = context @ m.s[bad].T + m.t[bad] - noise.prior_class[bad]
+    qw = m.q[w]
+    good_word = np.einsum("ij,ij->i", context, qw) + m.b[w] - noise.prior_word[w]
+    log = lambda x: float(np.log(_sigmoid(x)).sum(dtype=np.float64))
+    objective = log(good) + log(-wrong) + log(good_word)
+    good, wrong, good_word = _sigmoid(-good), -_sigmoid(wrong), _sigmoid(-good_word)
+    dcontext = good[:, None] * m.s[k] + wrong @ m.s[bad] + good_word[:, None] * qw
+    ds, dt = np.zeros_like(m.s), np.zeros_like(m.t)
+    begins = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
+    ds[k[begins]] = np.add.reduceat(good[:, None] * context, begins, axis=0)
+    dt[k[begins]] = np.add.reduceat(good, begins)
+    np.add.at(ds, bad, wrong.T @ context)
+    np.add.at(dt, bad, wrong.sum(0))
+    noisy, dq_noisy = [], []
+    for a, e in zip(begins, np.r_[begins[1:], len(w)]):
+        words = bad_words[k[a]]
+        qn = m.q[words]
+        x = context[a:e] @ qn.T + m.b[words] - noise.prior_word[words]
+        objective += log(-x)
+        x = -_sigmoid(x)
+        dcontext[a:e] += x @ qn
+        noisy.append(words)
+        dq_noisy.append(np.column_stack([x.T @ context[a:e], x.sum(0)]))
+    q = _sums(np.concatenate([w, *noisy]), np.concatenate([np.column_stack([good_word[:, None] * context, good_word]), *dq_noisy]))
+    r = _sums(np.concatenate([w1, w2]), np.concatenate([dcontext * m.scales[0], dcontext * m.scales[1]]))
+    dscales = np.stack([np.einsum("ij,ij->j", dcontext, r1), np.einsum("ij,ij->j", dcontext, r2)])
+    return objective, {"scales": dscales, "s": ds, "t": dt, "r": r, "q": q}
 
-    def flat(self) -> np.ndarray:
-        return np.concatenate([x.ravel() for x in (self.r, self.q, self.b, self.c)])
-
-    @classmethod
-    def of(cls, flat: np.ndarray, v: int, d: int) -> Model:
-        at = np.cumsum([v * d, v * d, v])
-        r, q, b, c = np.split(flat.astype(np.float32), at)
-        return cls(r.reshape(v, d).copy(), q.reshape(v, d).copy(), b.copy(), c.reshape(2, d).copy())
 
+class Trainer:
+    """Noise-contrastive estimation with AdaGrad; a batch shares its noise."""
 
-def _scattered(index: np.ndarray, rows: np.ndarray, v: int) -> np.ndarray:
-    """Sums of rows by index."""
-    return np.stack([np.bincount(index, rows[:, k], v) for k in range(rows.shape[1])], 1).astype(np.float32)
+    def __init__(self, model: Model, frequency: np.ndarray, rate: float = RATE, seed: int = 0):
+        self.m, self.noise, self.rate = model, Noise(frequency, seed=seed), rate
+        self.squares = Model(*(np.full(x.shape, 1e-2, np.float32) for x in (model.words, model.scales, model.s, model.t)))
+        self.seen = np.zeros(len(frequency), np.int64)
 
+    def step(self, w1: np.ndarray, w2: np.ndarray, w: np.ndarray) -> None:
+        _, g = contrast(self.m, self.noise, w1, w2, w, *self.noise.draw())
+        scale, d = np.float32(1 / np.sqrt(len(w))), self.m.s.shape[1]
+        for name in ("scales", "s", "t"):
+            own, x = getattr(self.squares, name), g[name] * scale
+            own += x * x
+            getattr(self.m, name)[...] += self.rate * x / np.sqrt(own)
+        for name, columns in (("r", slice(0, d)), ("q", slice(d, 2 * d + 1))):
+            at, x = g[name][0], g[name][1] * scale
+            own = self.squares.words[at, columns] + x * x
+            self.squares.words[at, columns] = own
+            self.m.words[at, columns] += self.rate * x / np.sqrt(own)
+        for x in (w1, w2, w):
+            np.add.at(self.seen, x, 1)
+
+
+def numbers(words: list[str]) -> dict[str, int]:
+    """Identifiers of the words of a vocabulary."""
+    return {w: k for k, w in enumerate(words)}
+
+
+def word_ids(words: list[str], known: dict[str, int]) -> np.ndarray:
+    """Identifiers of a text's words between two edges before and one after."""
+    out = np.full(len(words) + 3, EDGE, np.int32)
+    out[2:-1] = np.fromiter(map(known.get, words, repeat(UNKNOWN)), np.int32, len(words))
+    return out
 
-class Trainer:
-    """Noise-contrastive estimation with AdaGrad; a batch shares its noise words."""
 
-    def __init__(self, model: Model, frequency: np.ndarray, noise: int = NOISE, rate: float = RATE, seed: int = 0):
-        self.m, self.noise, self.rate, self.rng = model, noise, rate, np.random.default_rng(seed)
-        self.prior = np.log(noise * frequency).astype(np.float32)
-        self.edges = np.cumsum(frequency)
-        self.squares = [np.full(x.shape, 1e-2, np.float32) for x in (model.r, model.q, model.b, model.c)]
+_CHANGES = pa.schema([("block", pa.int32()), ("ids", pa.binary()), ("seen", pa.binary()), ("change", pa.binary())])
+_CHANGES_DDL = "block int, ids binary, seen binary, change binary"
 
-    def _move(self, k: int, x: np.ndarray, g: np.ndarray) -> None:
-        self.squares[k] += g * g
-        x += self.rate * g / np.sqrt(self.squares[k])
 
-    def step(self, w1: np.ndarray, w2: np.ndarray, w: np.ndarray) -> None:
-        m, v = self.m, len(self.m.b)
-        bad = np.minimum(np.searchsorted(self.edges, self.rng.random(self.noise)), v - 1)
-        r1, r2, qw, qn = m.r[w1], m.r[w2], m.q[w], m.q[bad]
-        context = m.c[0] * r1 + m.c[1] * r2
-        scale = np.float32(1 / np.sqrt(len(w)))
-        good = scale / (1 + np.exp(np.clip(np.einsum("ij,ij->i", context, qw) + m.b[w] - self.prior[w], -30, 30)))
-        wrong = -scale / (1 + np.exp(-np.clip(context @ qn.T + m.b[bad] - self.prior[bad], -30, 30)))
-        dc = good[:, None] * qw + wrong @ qn
-        dq = _scattered(w, good[:, None] * context, v)
-        np.add.at(dq, bad, wrong.T @ context)
-        db = (np.bincount(w, good, v) + np.bincount(bad, wrong.sum(0), v)).astype(np.float32)
-        dr = _scattered(np.concatenate([w1, w2]), np.concatenate([dc * m.c[0], dc * m.c[1]]), v)
-        dscale = np.stack([np.einsum("ij,ij->j", dc, r1), np.einsum("ij,ij->j", dc, r2)])
-        for k, (x, g) in enumerate(((m.r, dr), (m.q, dq), (m.b, db), (m.c, dscale))):
-            self._move(k, x, g)
-
-
-class Numbers(dict):
-    """Identifiers of the words of a vocabulary; others are unknown."""
-
-    def __init__(self, words: list[str]):
-        super().__init__((w, k) for k, w in enumerate(words))
-
-    def __missing__(self, word: str) -> int:
-        return UNKNOWN
-
-
-def word_ids(text: str, known: Numbers) -> np.ndarray:
-    """Identifiers of a text's words between two edges before and one after."""
-    return _ids(text.lower().split(), known)
+def _changes(trainer: Trainer, start: Model) -> pa.RecordBatch:
+    """What a task has learned about the words it has seen, in blocks; block -1 is what belongs to no word."""
+    total = np.array([trainer.seen.sum()], np.int64)
+    rows = [(-1, b"", total.tobytes(), (trainer.m.dense() - start.dense()).tobytes())]
+    at = np.flatnonzero(trainer.seen)
+    for part in np.split(at, np.flatnonzero(np.diff(at // _BLOCK)) + 1):
+        rows.append((int(part[0]) // _BLOCK, part.astype(np.int32).tobytes(), trainer.seen[part].tobytes(), (trainer.m.words[part] - start.words[part]).tobytes()))
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _CHANGES)], schema=_CHANGES)
 
 
-def _ids(words: list[str], known: Numbers) -> np.ndarray:
-    out = np.full(len(words) + 3, EDGE, np.int32)
-    out[2:-1] = np.fromiter(map(known.__getitem__, words), np.int32, len(words))
-    return out
+def _averaged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The changes of each block's words, averaged by how often each task has seen them."""
+    sums: dict[int, list] = {}
+    for batch in batches:
+        for block, ids, seen, change in zip(*(c.to_pylist() for c in batch.columns)):
+            at = np.frombuffer(ids, np.int32) - max(0, block) * _BLOCK if block >= 0 else np.zeros(1, np.int64)
+            n, x = np.frombuffer(seen, np.int64), np.frombuffer(change, np.float32).reshape(len(at), -1)
+            total = sums.setdefault(block, [np.zeros(_BLOCK, np.int64), np.zeros((_BLOCK, x.shape[1]))])
+            total[0][at] += n
+            total[1][at] += x.astype(np.float64) * n[:, None]
+    rows = []
+    for block, (n, x) in sums.items():
+        at = np.flatnonzero(n)
+        rows.append((block, (at + max(0, block) * _BLOCK).astype(np.int32).tobytes(), b"", (x[at] / n[at, None]).astype(np.float32).tobytes()))
+    if rows:
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _CHANGES)], schema=_CHANGES)
 
 
 def train(docs: DataFrame, words: list[str], frequency: np.ndarray, rounds: int = ROUNDS, dimensions: int = DIMENSIONS) -> Model:
-    spark, v = docs.sparkSession, len(words)
+    spark = docs.sparkSession
     ship(spark)
     model = Model.fresh(frequency, dimensions)
-    known = spark.sparkContext.broadcast(words)
+    known = spark.sparkContext.broadcast((words, frequency))
     texts = documents(docs).where("text is not null")
     for turn in range(rounds):
-        start = spark.sparkContext.broadcast(model.flat())
+        start = spark.sparkContext.broadcast((model.words, model.scales, model.s, model.t))
 
         def learn(batches: Iterator[pa.RecordBatch], turn=turn, start=start) -> Iterator[pa.RecordBatch]:
-            trainer, seen, held, size, numbers = None, 0, [], 0, Numbers(known.value)
+            trainer, held, size, of = None, [], 0, numbers(known.value[0])
             for k, batch in enumerate(sliced(batches, 64)):
                 if k % rounds != turn:  # the other rounds read these
                     continue
+                trainer = trainer or Trainer(Model(*start.value).copy(), known.value[1], seed=turn)
                 for text in texts_of(batch):
-                    held.append(word_ids(text, numbers))
+                    held.append(word_ids(text.lower().split(), of))
                     size += len(held[-1]) - 2
                 if size >= BATCH:
-                    trainer = trainer or Trainer(Model.of(start.value, v, dimensions), frequency, seed=turn)
                     learned(trainer, held)
-                    seen, held, size = seen + size, [], 0
+                    held, size = [], 0
             if held:
-                trainer = trainer or Trainer(Model.of(start.value, v, dimensions), frequency, seed=turn)
                 learned(trainer, held)
-                seen += size
             if trainer:
-                parts = np.array_split(trainer.m.flat(), -(-len(start.value) // _BLOCK))
-                yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array([seen] * len(parts), pa.int64()), pa.array(parts, pa.list_(pa.float32()))], ["block", "seen", "values"])
+                yield _changes(trainer, Model(*start.value))
 
         def learned(trainer: Trainer, held: list[np.ndarray]) -> None:
             w1, w2, w = (np.concatenate([x[k : len(x) - 2 + k] for x in held]) for k in range(3))
             for at in range(0, len(w), BATCH):
                 trainer.step(w1[at : at + BATCH], w2[at : at + BATCH], w[at : at + BATCH])
 
-        def averaged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            sums: dict[int, list] = {}
-            for batch in batches:
-                for k in range(batch.num_rows):
-                    block, seen = batch.column(0)[k].as_py(), batch.column(1)[k].as_py()
-                    values = batch.column(2)[k].values.to_numpy().astype(np.float64)
-                    total = sums.setdefault(block, [0, 0.0])
-                    total[0], total[1] = total[0] + seen, total[1] + values * seen
-            if sums:
-                yield pa.RecordBatch.from_arrays([pa.array(sums.keys(), pa.int32()), pa.array([(x / max(1, n)).astype(np.float32) for n, x in sums.values()], pa.list_(pa.float32()))], ["block", "values"])
-
-        parts = texts.mapInArrow(learn, "block int, seen bigint, values array<float>").repartition("block").mapInArrow(averaged, "block int, values array<float>")
-        found = sorted(parts.collect(), key=lambda r: r["block"])  # one set of parameters
-        if found:
-            model = Model.of(np.concatenate([np.array(r["values"], np.float32) for r in found]), v, dimensions)
+        found = texts.mapInArrow(learn, _CHANGES_DDL).repartition("block").mapInArrow(_averaged, _CHANGES_DDL).toArrow()
+        model = model.copy()
+        for block, ids, change in zip(*(found[c].to_pylist() for c in ("block", "ids", "change"))):  # one set of parameters
+            if block < 0:
+                model = model.with_dense(model.dense() + np.frombuffer(change, np.float32))
+            else:
+                at = np.frombuffer(ids, np.int32)
+                model.words[at] += np.frombuffer(change, np.float32).reshape(len(at), -1)
+        start.unpersist()
     return model
 
 
-class Tables:
-    """Scores of every word after each context word, and the normaliser of every context."""
-
-    def __init__(self, model: Model):
-        self.first = (model.c[0] * model.r) @ model.q.T
-        self.second = (model.c[1] * model.r) @ model.q.T + model.b
-        top = self.first.max(1), self.second.max(1)
-        sums = np.exp(self.first - top[0][:, None]) @ np.exp(self.second - top[1][:, None]).T
-        self.log_sum = np.log(sums) + top[0][:, None] + top[1][None, :]
-
-    def log_probabilities(self, ids: np.ndarray) -> np.ndarray:
-        w1, w2, w = ids[:-2], ids[1:-1], ids[2:]
-        return self.first[w1, w] + self.second[w2, w] - self.log_sum[w1, w2]
+#: Tokens whose scores are held at once.
+_SCORED = 16_384
 
 
 def score_documents(docs: DataFrame, model: Model, words: list[str], spelt: tuple[np.ndarray, np.ndarray] | None = None) -> DataFrame:
@@ -303,33 +421,36 @@ def score_documents(docs: DataFrame, model: Model, words: list[str], spelt: tupl
 
     spelt: what :func:`count_trigrams` found; without it a word outside the vocabulary has the probability of its whole class.
     """
-    shared = docs.sparkSession.sparkContext.broadcast((model.flat(), words, model.r.shape[1], spelt))
-    held: list[tuple[Tables, Numbers, Spelling | None]] = []  # one for each task
+    shared = docs.sparkSession.sparkContext.broadcast((model.words, model.scales, model.s, model.t, words, spelt))
+    held: list[tuple[Model, dict, Spelling | None]] = []  # one for each task
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         if not held:
-            flat, vocabulary, d, trigrams = shared.value
-            held.append((Tables(Model.of(flat, len(vocabulary), d)), Numbers(vocabulary), trigrams and Spelling(*trigrams, vocabulary[2:])))
-        tables, known, spelling = held[0]
-        texts = texts_of(batch)
-        sums = iter([scored(t.lower().split(), tables, known, spelling) for t in texts if t is not None])
-        found = [(None, None) if t is None else next(sums) for t in texts]
-        perplexity = [None if n is None else float(np.exp(-s / (n + 1))) for n, s in found]
-        return pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array([n for n, _ in found], pa.int32()), pa.array([s for _, s in found], pa.float64()), pa.array(perplexity, pa.float64())], ["doc_id", "n_words", "log_prob", "perplexity"]
-        )
-
-    def scored(words: list[str], tables: Tables, known: Numbers, spelling: Spelling | None) -> tuple[int, float]:
-        ids = _ids(words, known)
-        log_prob = float(tables.log_probabilities(ids).sum(dtype=np.float64))
+            *parameters, vocabulary, trigrams = shared.value
+            held.append((Model(*parameters), numbers(vocabulary), trigrams and Spelling(*trigrams, vocabulary[2:])))
+        own, known, spelling = held[0]
+        split = [None if t is None else t.lower().split() for t in texts_of(batch)]
+        there = [x for x in split if x is not None]
+        sums = iter(scored(there, own, known, spelling)) if there else iter(())
+        logs = [None if x is None else float(next(sums)) for x in split]
+        counts = [None if x is None else len(x) for x in split]
+        perplexity = [None if n is None else float(np.exp(-x / (n + 1))) for n, x in zip(counts, logs)]
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int32()), pa.array(logs, pa.float64()), pa.array(perplexity, pa.float64())], ["doc_id", "n_words", "log_prob", "perplexity"])
+
+    def scored(texts: list[list[str]], own: Model, known: dict, spelling: Spelling | None) -> np.ndarray:
+        ids = [word_ids(x, known) for x in texts]
+        w1, w2, w = (np.concatenate([x[k : len(x) - 2 + k] for x in ids]) for k in range(3))
+        logs = np.concatenate([own.log_probabilities(w1[at : at + _SCORED], w2[at : at + _SCORED], w[at : at + _SCORED]) for at in range(0, len(w), _SCORED)])
         if spelling:
-            log_prob += float(spelling.log_probabilities(list(compress(words, ids[2:-1] == UNKNOWN))).sum())
-        return len(words), log_prob
+            unknown = np.flatnonzero(w == UNKNOWN)
+            # The ends of texts are no words, and never unknown.
+            logs[unknown] += spelling.log_probabilities([x for t, k in zip(texts, ids) for x in compress(t, k[2:-1] == UNKNOWN)])
+        return np.add.reduceat(logs, np.cumsum([0, *(len(x) - 2 for x in ids[:-1])]))
 
     return map_batches(documents(docs), work, "doc_id bigint, n_words int, log_prob double, perplexity double")
 
 
-def lm_scores(docs: DataFrame, size: int = VOCABULARY, rounds: int = ROUNDS) -> DataFrame:
+def lm_scores(docs: DataFrame, size: int | None = None, rounds: int = ROUNDS) -> DataFrame:
     """Train on docs and score them."""
     texts = documents(docs)
     counts = cut(count_words(texts))
