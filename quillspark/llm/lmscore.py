@@ -37,12 +37,12 @@ from pyspark.sql import functions as F
 from quillspark.llm.common import cut, documents, map_batches, ship, sliced, texts_of
 
 #: Least and most words with parameters of their own (bytes that are sent to the executors: 260 for each), and words for each root of the number of tokens.
-LEAST_WORDS, MOST_WORDS, PER_ROOT = 2048, 1 << 18, 2.0
+LEAST_WORDS, MOST_WORDS, PER_ROOT = 8192, 1 << 18, 1.0
 DIMENSIONS = 32
 #: Noise classes for a batch, and noise words for each class of a batch.
-NOISE, NOISE_WORDS = 32, 8
+NOISE, NOISE_WORDS = 16, 8
 ROUNDS = 3
-BATCH = 8192
+BATCH = 16_384
 RATE = 0.06
 UNKNOWN, EDGE = 0, 1
 _MOST_COUNTED = 400_000
@@ -181,6 +181,7 @@ class Model:
         d = s.shape[1]
         self.words, self.scales, self.s, self.t, self.width = words, scales, s, t, class_width(len(words))
         self.r, self.q, self.b = words[:, :d], words[:, d : 2 * d], words[:, 2 * d]
+        self._with_bias: tuple | None = None
 
     @classmethod
     def fresh(cls, frequency: np.ndarray, dimensions: int = DIMENSIONS, seed: int = 5) -> Model:
@@ -205,15 +206,20 @@ class Model:
 
     def log_probabilities(self, w1: np.ndarray, w2: np.ndarray, w: np.ndarray) -> np.ndarray:
         """Normalised log-probability of each w after w1, w2."""
-        context, k = self.scales[0] * self.r[w1] + self.scales[1] * self.r[w2], w // self.width
-        scores = context @ self.s.T + self.t
-        out = _chosen(scores, k)
-        order = np.argsort(k, kind="stable")
-        begins = np.flatnonzero(np.r_[True, k[order][1:] != k[order][:-1]]) if len(k) else k
-        for a, b in zip(begins, np.r_[begins[1:], len(k)]):
-            at = order[a:b]
-            own = slice(int(k[at[0]]) * self.width, (int(k[at[0]]) + 1) * self.width)
-            out[at] += _chosen(context[at] @ self.q[own].T + self.b[own], w[at] - own.start)
+        if self._with_bias is None:  # biases as a last column, for a context whose last component is one
+            self._with_bias = np.column_stack([self.s, self.t]).T.copy(), np.column_stack([self.q, self.b])
+        classes, words = self._with_bias
+        order = np.argsort(_small(w // self.width), kind="stable")
+        w1, w2, w = w1[order], w2[order], w[order]
+        context = np.ones((len(w), classes.shape[0]), classes.dtype)
+        context[:, :-1] = self.scales[0] * self.r[w1] + self.scales[1] * self.r[w2]
+        k = w // self.width
+        out = np.empty(len(w))
+        out[order] = _chosen(context @ classes, k)
+        begins = np.flatnonzero(np.r_[True, k[1:] != k[:-1]]) if len(k) else k
+        for a, b in zip(begins.tolist(), [*begins[1:].tolist(), len(k)]):
+            first = int(k[a]) * self.width
+            out[order[a:b]] += _chosen(context[a:b] @ words[first : first + self.width].T, w[a:b] - first)
         return out
 
 
@@ -226,24 +232,35 @@ def class_frequency(frequency: np.ndarray) -> np.ndarray:
     return np.add.reduceat(frequency, np.arange(0, len(frequency), class_width(len(frequency))))
 
 
+def _small(x: np.ndarray) -> np.ndarray:
+    """Numbers in two bytes where they fit, which sort faster."""
+    return x.astype(np.uint16) if not len(x) or x.max() < 65_536 else x
+
+
 def _chosen(scores: np.ndarray, chosen: np.ndarray) -> np.ndarray:
-    """Row by row, the chosen score less the logarithm of the sum of exponentials."""
-    top = scores.max(1)
-    picked = scores[np.arange(len(scores)), chosen]
-    scores -= top[:, None]
-    np.exp(scores, out=scores)
-    return (picked - top).astype(np.float64) - np.log(scores.sum(1, dtype=np.float64))
+    """Row by row, the chosen score less the logarithm of the sum of exponentials; scores are used up."""
+    picked = scores[np.arange(len(scores)), chosen].astype(np.float64)
+    if len(scores) and max(scores.max(), -scores.min()) > 60:  # sums that may be too large or too small
+        top = scores.max(1)
+        return picked - top - np.log(np.exp(scores - top[:, None]).sum(1, dtype=np.float64))
+    sums = np.exp(scores, out=scores) @ np.ones(scores.shape[1], scores.dtype)
+    return picked - np.log(sums.astype(np.float64))
 
 
 def _sums(index: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct indices and the sum of the rows of each."""
-    order = np.argsort(index, kind="stable")
-    begins = np.flatnonzero(np.r_[True, index[order][1:] != index[order][:-1]])
-    return index[order][begins], np.add.reduceat(rows[order], begins, axis=0)
+    order = np.argsort(_small(index), kind="stable")
+    index = index[order]
+    begins = np.flatnonzero(np.r_[True, index[1:] != index[:-1]])
+    return index[begins], np.add.reduceat(rows[order], begins, axis=0)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+    out = np.clip(x, -30, 30)
+    np.negative(out, out=out)
+    np.exp(out, out=out)
+    out += 1
+    return np.reciprocal(out, out=out)
 
 
 class Noise:
@@ -265,38 +282,48 @@ class Noise:
         return k, np.clip(at, self.first[:, None], np.minimum(self.first + self.width, len(self.edges))[:, None] - 1)
 
 
-def contrast(m: Model, noise: Noise, w1: np.ndarray, w2: np.ndarray, w: np.ndarray, bad: np.ndarray, bad_words: np.ndarray) -> tuple[float, dict]:
-    """The objective of a batch against noise classes and words, and its gradient: dense parts whole, those of words as (words, rows)."""
-    order = np.argsort(w, kind="stable")
+def contrast(m: Model, noise: Noise, w1: np.ndarray, w2: np.ndarray, w: np.ndarray, bad: np.ndarray, bad_words: np.ndarray, measured: bool = False) -> tuple[float, dict]:
+    """The objective (if measured) of a batch against noise classes and words, and its gradient: dense parts whole, those of words as (words, rows)."""
+    order = np.argsort(_small(w), kind="stable")
     w1, w2, w = w1[order], w2[order], w[order]
     r1, r2, k = m.r[w1], m.r[w2], w // m.width
     context = m.scales[0] * r1 + m.scales[1] * r2
-    good = np.einsum("ij,ij->i", context, m.s[k]) + m.t[k] - noise.prior_class[k]
-    wrong = context @ m.s[bad].T + m.t[bad] - noise.prior_class[bad]
-    qw = m.q[w]
-    good_word = np.einsum("ij,ij->i", context, qw) + m.b[w] - noise.prior_word[w]
-    log = lambda x: float(np.log(_sigmoid(x)).sum(dtype=np.float64))
-    objective = log(good) + log(-wrong) + log(good_word)
-    good, wrong, good_word = _sigmoid(-good), -_sigmoid(wrong), _sigmoid(-good_word)
-    dcontext = good[:, None] * m.s[k] + wrong @ m.s[bad] + good_word[:, None] * qw
-    ds, dt = np.zeros_like(m.s), np.zeros_like(m.t)
     begins = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
+    pieces = list(zip(begins.tolist(), [*begins[1:].tolist(), len(w)], k[begins].tolist()))
+    noisy = bad_words[k[begins]]
+    q_noisy = m.q[noisy]
+    sk, qw = m.s[k], m.q[w]
+    good = np.einsum("ij,ij->i", context, sk) + (m.t - noise.prior_class)[k]
+    wrong = context @ m.s[bad].T + (m.t[bad] - noise.prior_class[bad])
+    good_word = np.einsum("ij,ij->i", context, qw) + (m.b - noise.prior_word)[w]
+    wrong_word = np.empty((len(w), bad_words.shape[1]), context.dtype)
+    level = m.b[noisy] - noise.prior_word[noisy]
+    for n, (a, e, _) in enumerate(pieces):
+        np.matmul(context[a:e], q_noisy[n].T, out=wrong_word[a:e])
+        wrong_word[a:e] += level[n]
+    objective = sum(float(np.log(_sigmoid(x)).sum(dtype=np.float64)) for x in (good, -wrong, good_word, -wrong_word)) if measured else 0.0
+    good, wrong, good_word, wrong_word = _sigmoid(-good), -_sigmoid(wrong), _sigmoid(-good_word), -_sigmoid(wrong_word)
+    dcontext = good[:, None] * sk
+    dcontext += wrong @ m.s[bad]
+    dcontext += good_word[:, None] * qw
+    width = context.shape[1]
+    dq_noisy = np.empty((*noisy.shape, width + 1), context.dtype)
+    for n, (a, e, _) in enumerate(pieces):
+        dcontext[a:e] += wrong_word[a:e] @ q_noisy[n]
+        np.matmul(wrong_word[a:e].T, context[a:e], out=dq_noisy[n, :, :width])
+    dq_noisy[:, :, width] = np.add.reduceat(wrong_word, begins, axis=0)
+    ds, dt = np.zeros_like(m.s), np.zeros_like(m.t)
     ds[k[begins]] = np.add.reduceat(good[:, None] * context, begins, axis=0)
     dt[k[begins]] = np.add.reduceat(good, begins)
     np.add.at(ds, bad, wrong.T @ context)
     np.add.at(dt, bad, wrong.sum(0))
-    noisy, dq_noisy = [], []
-    for a, e in zip(begins, np.r_[begins[1:], len(w)]):
-        words = bad_words[k[a]]
-        qn = m.q[words]
-        x = context[a:e] @ qn.T + m.b[words] - noise.prior_word[words]
-        objective += log(-x)
-        x = -_sigmoid(x)
-        dcontext[a:e] += x @ qn
-        noisy.append(words)
-        dq_noisy.append(np.column_stack([x.T @ context[a:e], x.sum(0)]))
-    q = _sums(np.concatenate([w, *noisy]), np.concatenate([np.column_stack([good_word[:, None] * context, good_word]), *dq_noisy]))
-    r = _sums(np.concatenate([w1, w2]), np.concatenate([dcontext * m.scales[0], dcontext * m.scales[1]]))
+    # Targets are in order already.
+    first = np.flatnonzero(np.r_[True, w[1:] != w[:-1]])
+    dq = np.add.reduceat(np.column_stack([good_word[:, None] * context, good_word]), first, axis=0)
+    q = _sums(np.concatenate([w[first], noisy.ravel()]), np.concatenate([dq, dq_noisy.reshape(-1, width + 1)]))
+    # Each position's sums before its scale: a word's gradient is scaled once, not at each of its places.
+    (at1, x1), (at2, x2) = _sums(w1, dcontext), _sums(w2, dcontext)
+    r = _sums(np.concatenate([at1, at2]), np.concatenate([x1 * m.scales[0], x2 * m.scales[1]]))
     dscales = np.stack([np.einsum("ij,ij->j", dcontext, r1), np.einsum("ij,ij->j", dcontext, r2)])
     return objective, {"scales": dscales, "s": ds, "t": dt, "r": r, "q": q}
 
@@ -321,8 +348,7 @@ class Trainer:
             own = self.squares.words[at, columns] + x * x
             self.squares.words[at, columns] = own
             self.m.words[at, columns] += self.rate * x / np.sqrt(own)
-        for x in (w1, w2, w):
-            np.add.at(self.seen, x, 1)
+        self.seen += np.bincount(np.concatenate([w1, w2, w]), minlength=len(self.seen))
 
 
 def numbers(words: list[str]) -> dict[str, int]:
@@ -380,9 +406,7 @@ def train(docs: DataFrame, words: list[str], frequency: np.ndarray, rounds: int
 
         def learn(batches: Iterator[pa.RecordBatch], turn=turn, start=start) -> Iterator[pa.RecordBatch]:
             trainer, held, size, of = None, [], 0, numbers(known.value[0])
-            for k, batch in enumerate(sliced(batches, 64)):
-                if k % rounds != turn:  # the other rounds read these
-                    continue
+            for batch in sliced(batches, 64):
                 trainer = trainer or Trainer(Model(*start.value).copy(), known.value[1], seed=turn)
                 for text in texts_of(batch):
                     held.append(word_ids(text.lower().split(), of))
@@ -400,7 +424,8 @@ def train(docs: DataFrame, words: list[str], frequency: np.ndarray, rounds: int
             for at in range(0, len(w), BATCH):
                 trainer.step(w1[at : at + BATCH], w2[at : at + BATCH], w[at : at + BATCH])
 
-        found = texts.mapInArrow(learn, _CHANGES_DDL).repartition("block").mapInArrow(_averaged, _CHANGES_DDL).toArrow()
+        share = F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(rounds)) == turn  # the other rounds read the rest
+        found = texts.where(share).mapInArrow(learn, _CHANGES_DDL).repartition("block").mapInArrow(_averaged, _CHANGES_DDL).toArrow()
         model = model.copy()
         for block, ids, change in zip(*(found[c].to_pylist() for c in ("block", "ids", "change"))):  # one set of parameters
             if block < 0:
