@@ -23,6 +23,8 @@ from quillspark.llm.common import documents, map_batches, texts_of, written
 
 AVERAGE_BITS = 11
 LEAST, MOST = 512, 16_384
+#: Documents of a group from which it is joined by sending its recipe, so that the group needs no task of its own; and how many such groups may be sent.
+HOT, MOST_SENT = 100_000, 2_000
 _GEAR = np.random.default_rng(20240611).integers(0, 1 << 32, 256, dtype=np.uint64).astype(np.uint32)
 
 
@@ -64,7 +66,7 @@ def _recipe(text: str, bits: int) -> tuple[list[bytes], list[bytes]]:
     return chunks, [_hash(c, bits) for c in chunks]
 
 
-def exact_copies(docs: DataFrame, hash_bits: int = 128) -> DataFrame:
+def exact_copies(docs: DataFrame, hash_bits: int = 128, hot: int = HOT) -> DataFrame:
     """(doc_id, first_doc_id, n_copies): a row for each row of docs whose text occurs more than once; first_doc_id is the group's least."""
 
     def recipes(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -95,14 +97,20 @@ def exact_copies(docs: DataFrame, hash_bits: int = 128) -> DataFrame:
     named = chunks.join(clashing, "hash", "left").select("row", "k", F.struct("hash", F.when(F.col("known").isNotNull(), F.array_position("known", F.sha2("chunk", 512))).otherwise(F.lit(1)).alias("rank")).alias("id"))
     lists = named.groupBy("row").agg(F.transform(F.array_sort(F.collect_set(F.struct("k", "id"))), lambda x: x["id"]).alias("recipe"))
     rows = candidates.groupBy("row", "doc_id").agg(F.count("*").alias("times"))
-    groups = (
-        rows.join(lists, "row", "left")
-        .groupBy(F.coalesce("recipe", F.array().cast("array<struct<hash:binary,rank:bigint>>")).alias("recipe"))
-        .agg(F.sum("times").alias("n_copies"), F.min("doc_id").alias("first_doc_id"), F.collect_list(F.struct("doc_id", "times")).alias("members"))
-        .where("n_copies > 1")
-    )
-    each = groups.select("first_doc_id", "n_copies", F.explode("members").alias("m"))
-    return each.select(F.col("m.doc_id").alias("doc_id"), "first_doc_id", "n_copies", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("m.times"))).alias("_")).drop("_")
+    # A member of a group is a row of its own, so a group of any size is never held in one.
+    empty = F.array().cast("array<struct<hash:binary,rank:bigint>>")
+    members = written(rows.join(lists, "row", "left").select("doc_id", "times", F.coalesce("recipe", empty).alias("recipe")), "recipes")
+    groups = written(members.groupBy("recipe").agg(F.sum("times").alias("n_copies"), F.min("doc_id").alias("first_doc_id"), F.count("*").alias("n_rows")).where("n_copies > 1"), "copies")
+    large = groups.where(F.col("n_rows") >= hot).drop("n_rows")
+    n_large = large.limit(MOST_SENT + 1).count()  # no more than rows / hot; beyond MOST_SENT they are joined like the others
+    if 0 < n_large <= MOST_SENT:
+        each = members.join(groups.where(F.col("n_rows") < hot).drop("n_rows"), "recipe").unionByName(members.join(F.broadcast(large), "recipe"))
+    else:
+        each = members.join(groups.drop("n_rows"), "recipe")
+    # Repeated rows come back as often as they were, a thousand at a time.
+    thousands = F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("times") - 1) / 1000)))
+    again = each.select("doc_id", "first_doc_id", "n_copies", "times", thousands.alias("k"))
+    return again.select("doc_id", "first_doc_id", "n_copies", F.explode(F.sequence(F.lit(1).cast("bigint"), F.least(F.lit(1000).cast("bigint"), F.col("times") - 1000 * F.col("k")))).alias("_")).drop("_")
 
 
 SQL = """
