@@ -5,6 +5,10 @@ MIN_WORDS, so any passage of MIN_WORDS words has an anchor that depends on its w
 it. Anchors of one document only drop out. Each other occurrence sends its context to the anchor's bucket: as many words to both
 sides as a passage of MIN_WORDS around the anchor can have.
 
+An anchor of ``HOT`` occurrences or more, such as one in a licence that millions of documents carry, has no bucket. Its windows of MIN_WORDS words are known by
+two hashes and grouped for the first and the last document that holds them, which is combined before it moves; windows of
+as many occurrences are few and are sent to the documents, others join them. So no task holds a group that grows with the corpus.
+
 Buckets. :func:`suffix_sort` sorts the suffixes that begin at the anchor, and the reversed texts before it, by merge
 sort. A comparison finds the common extension of two suffixes by binary search over prefix polynomial hashes, so it
 takes a logarithm of their length; extensions of neighbours are verified on the words themselves. With both
@@ -29,13 +33,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import _powers, documents, lists, map_batches, mix, ship, signed, sliced, texts_of, window_hashes, word_hashes
+from quillspark.llm.common import _powers, documents, lists, map_batches, mix, ship, signed, sliced, texts_of, window_hashes, word_hashes, written
 
 MIN_WORDS = 50
 GRAM = 16
 WINDOW = MIN_WORDS - GRAM + 1
-#: Occurrences that are sorted at once; a bucket is never divided.
+#: Occurrences that are sorted at once; a bucket is never divided, and has fewer than HOT.
 CHUNK = 8_192
+HOT = 50_000
+#: Windows of HOT occurrences or more that may be sent to all tasks.
+MOST_SENT = 200_000
 
 
 def anchors(text: str, gram: int = GRAM, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
@@ -159,10 +166,37 @@ def repeated_windows(buckets: np.ndarray, docs: np.ndarray, right: list[list[str
     return anywhere, earlier
 
 
+def _hot_spans(docs: DataFrame, reach: int, hot: int) -> DataFrame:
+    """(doc_id, th, start, stop, later) of the repeated windows over the anchors of docs (doc_id, text, th, anchors), window by window."""
+
+    def name(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+        out = []
+        for doc_id, text, th, chosen in zip(batch.column(0).to_pylist(), texts_of(batch), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+            h = word_hashes(text.split())
+            first, second = window_hashes(h, MIN_WORDS), window_hashes(mix(h), MIN_WORDS)
+            starts = np.unique(np.array([x["at"] for x in chosen])[:, None] - np.arange(reach + 1)[None, :])
+            starts = starts[(starts >= 0) & (starts < len(first))]
+            out.append((np.full(len(starts), doc_id), np.full(len(starts), th), starts.astype(np.int32), signed(first[starts]), signed(second[starts])))
+        columns = [np.concatenate(c) for c in zip(*out)]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["doc_id", "th", "start", "h1", "h2"])
+
+    rows = written(map_batches(docs, name, "doc_id bigint, th bigint, start int, h1 bigint, h2 bigint", 64), "windows")
+    one = F.struct("doc_id", "th")
+    keys = rows.groupBy("h1", "h2").agg(F.min(one).alias("low"), F.max(one).alias("high"), F.count("*").alias("n")).where("low <> high")
+    keys = written(keys.drop("high"), "repeated")
+    large = keys.where(F.col("n") >= hot)
+    if 0 < large.limit(MOST_SENT + 1).count() <= MOST_SENT:
+        found = rows.join(keys.where(F.col("n") < hot), ["h1", "h2"]).unionByName(rows.join(F.broadcast(large), ["h1", "h2"]))
+    else:
+        found = rows.join(keys, ["h1", "h2"])
+    kinds = F.when(one == F.col("low"), F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True)))
+    return found.select("doc_id", "th", "start", (F.col("start") + MIN_WORDS).alias("stop"), F.explode(kinds).alias("later"))
+
+
 _CONTEXT = "anchor bigint, doc_id bigint, th bigint, at int, left string, right string"
 
 
-def repeated_spans(docs: DataFrame) -> DataFrame:
+def repeated_spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
     """(doc_id, repeated, removable, n_words): spans of words, from start to before end, of every document that has a repeated passage."""
     reach = WINDOW - 1
     texts = documents(docs).where("doc_id is not null and text <> ''").withColumn("th", F.xxhash64("text"))
@@ -178,8 +212,8 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     one = F.struct("doc_id", "th")
     # A window over the anchor's occurrences: a join with the shared anchors would find all anchors twice.
     same = W.partitionBy("anchor")
-    shared = each.select("*", F.min(one).over(same).alias("low"), F.max(one).over(same).alias("high")).where("low <> high")
-    wanted = shared.groupBy("doc_id", "th").agg(F.collect_set(F.struct("at", "anchor")).alias("anchors"))
+    shared = each.select("*", F.min(one).over(same).alias("low"), F.max(one).over(same).alias("high"), (F.count("*").over(same) >= hot).alias("hot")).where("low <> high")
+    wanted = written(shared.groupBy("doc_id", "th", "hot").agg(F.collect_set(F.struct("at", "anchor")).alias("anchors")), "anchors")
 
     def contexts(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows = []
@@ -190,7 +224,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
                 rows.append((x["anchor"], doc_id, th, at, " ".join(words[max(0, at - reach) : at]), " ".join(words[at : at + MIN_WORDS])))
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.string()))], ["anchor", "doc_id", "th", "at", "left", "right"])
 
-    joined = texts.join(wanted, ["doc_id", "th"]).select("doc_id", "text", "th", "anchors")
+    joined = texts.join(wanted.where("not hot"), ["doc_id", "th"]).select("doc_id", "text", "th", "anchors")
     placed = map_batches(joined, contexts, _CONTEXT, 64).repartition("anchor").sortWithinPartitions("anchor", "doc_id", "th", "at")
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,6 +260,9 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
 
     ship(docs.sparkSession)
     spans = placed.mapInArrow(settle, "doc_id bigint, th bigint, start int, stop int, later boolean")
+    if not wanted.where("hot").isEmpty():
+        frequent = texts.join(wanted.where("hot"), ["doc_id", "th"]).select("doc_id", "text", "th", "anchors")
+        spans = spans.unionByName(_hot_spans(frequent.dropDuplicates(["doc_id", "th"]), reach, hot))
     spans = spans.groupBy("doc_id", "th", "later", "start").agg(F.max("stop").alias("stop")).repartition("doc_id", "th").sortWithinPartitions("doc_id", "th", "later", "start")
     span = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
 
