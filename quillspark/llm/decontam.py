@@ -13,7 +13,8 @@ matches aren't compared, since a run of names may go on beyond them. A document
 ``min_coverage`` of the item's windows.
 
 Defined results: null or empty texts, and documents with a null doc_id, match nothing; items with a null id or
-fewer words than ``width`` are matched as one window of all their words if they have ``min_words`` words, else never;
+fewer words than ``width`` are matched as one window of all their words if they have ``min_words`` words, else never; an item_id with several texts
+stands for each of them, and the best covered one counts;
 windows with fewer than ``min_literal`` words that are no placeholders are not used; repeated rows count once;
 empty tables give no rows; other columns are ignored.
 """
@@ -22,10 +23,12 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quillspark.llm.common import Bounded, documents, hash64, map_batches, mix, signed, texts_of, window_hashes
@@ -36,8 +39,10 @@ MIN_LITERAL = 4
 MIN_COVERAGE = 0.5
 #: Canonical words by which an occurrence may drift from its main diagonal.
 MOST_SHIFTED = 8
-#: Benchmark windows up to this number (8 bytes each) are sent to the executors as a first filter; beyond it every window is shuffled and hash-joined.
+#: Benchmark windows up to this number (8 bytes each) are sent to the executors as a first filter; more are sent as a bitmap of their hashes' leading bits.
 MOST_SENT = 4_000_000
+#: Bits of that bitmap at most, as a power of two: 128 MB. What it lets through is joined, so its size bears on speed only.
+MOST_BITS = 30
 
 UNITS = frozenset(
     "mm cm m km in ft yd mi mg g kg t lb lbs oz ml l cl dl s sec secs min mins h hr hrs ms kb mb gb tb hz khz mhz ghz w kw v a j kj cal kcal pa kpa bar c f k % ° "
@@ -168,10 +173,51 @@ _FOUND = pa.schema([("id", pa.int64()), ("reading", pa.int32()), ("size", pa.int
 _DDL = "id bigint, reading int, size int, at int, window bigint, template string, slots array<string>, n_windows int"
 
 
-def _emit(batch: pa.RecordBatch, sizes: list[int], min_literal: int, wanted: np.ndarray | None, whole: tuple[int, int] | None) -> pa.RecordBatch:
-    """Windows of a batch's texts: for items (``whole`` set) those of the main width, or one of all words of a short item."""
+class Wanted:
+    """Which hashes the benchmark's windows may have: sorted ones, or a bitmap of leading bits."""
+
+    def __init__(self, hashes: np.ndarray | None, bitmap: np.ndarray | None = None):
+        self.hashes, self.bitmap = hashes, bitmap
+        self.shift = None if bitmap is None else np.uint64(64 - (len(bitmap) * 8).bit_length() + 1)
+
+    def has(self, found: np.ndarray) -> np.ndarray:
+        if self.bitmap is not None:
+            at = found >> self.shift
+            return (self.bitmap[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
+        if not len(self.hashes):
+            return np.zeros(len(found), bool)
+        return self.hashes[np.minimum(np.searchsorted(self.hashes, found), len(self.hashes) - 1)] == found
+
+
+def wanted_windows(windows: DataFrame, n: int, most_sent: int = MOST_SENT) -> Wanted:
+    """The filter for n distinct windows. Tasks make the bitmap in pieces, so the driver holds its bits and no hashes."""
+    if n <= most_sent:
+        return Wanted(np.sort(windows.select("window").distinct().toArrow()["window"].to_numpy().view(np.uint64)))
+    bits = min(MOST_BITS, max(16, (16 * n - 1).bit_length()))
+    piece = bits - 10
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks: dict[int, np.ndarray] = {}
+        for batch in batches:
+            at = batch.column(0).to_numpy().view(np.uint64) >> np.uint64(64 - bits)
+            for k in np.unique(at >> np.uint64(piece)).tolist():
+                own = (at[at >> np.uint64(piece) == k] & np.uint64((1 << piece) - 1)).astype(np.int64)
+                np.bitwise_or.at(marks.setdefault(k, np.zeros(1 << piece - 3, np.uint8)), own >> 3, np.left_shift(1, own & 7).astype(np.uint8))
+        if marks:
+            yield pa.RecordBatch.from_arrays([pa.array(marks.keys(), pa.int32()), pa.array([m.tobytes() for m in marks.values()], pa.binary())], ["piece", "bits"])
+
+    pieces = windows.select("window").repartition(F.shiftrightunsigned("window", 54)).mapInArrow(mark, "piece int, bits binary").toArrow()
+    bitmap = np.zeros(1 << bits - 3, np.uint8)
+    for k, own in zip(pieces["piece"].to_pylist(), pieces["bits"].to_pylist()):
+        bitmap[k << piece - 3 : (k + 1) << piece - 3] |= np.frombuffer(own, np.uint8)
+    return Wanted(None, bitmap)
+
+
+def _emit(batch: pa.RecordBatch, sizes: list[int], min_literal: int, wanted: Wanted | None, whole: tuple[int, int] | None) -> pa.RecordBatch:
+    """Windows of a batch's texts: for items (``whole`` set) those of the main width, or one of all words of a short item; their reading is the variant."""
     rows = []
-    for doc_id, text in zip(batch.column(0).to_pylist(), texts_of(batch)):
+    variants = batch.column(2).to_pylist() if whole is not None else [0] * batch.num_rows
+    for doc_id, text, variant in zip(batch.column(0).to_pylist(), texts_of(batch), variants):
         if doc_id is None or not text:
             continue
         for reading, (hashes, first, words) in enumerate([canonical(text)] if whole is not None else readings(text)):
@@ -183,11 +229,10 @@ def _emit(batch: pa.RecordBatch, sizes: list[int], min_literal: int, wanted: np.
                 found, usable = _windows(hashes, width, min(min_literal, width))
                 n = int(usable.sum())
                 if wanted is not None and n:
-                    at = np.searchsorted(wanted, found)
-                    usable &= wanted[np.minimum(at, len(wanted) - 1)] == found if len(wanted) else False
+                    usable &= wanted.has(found)
                 for k in np.flatnonzero(usable).tolist():
                     template, slots = _describe(hashes, first, words, k, width)
-                    rows.append((doc_id, reading, width, k, int(found[k : k + 1].view(np.int64)[0]), template, slots, n))
+                    rows.append((doc_id, reading + variant, width, k, int(found[k : k + 1].view(np.int64)[0]), template, slots, n))
     columns = list(zip(*rows)) if rows else [[] for _ in _FOUND]
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _FOUND)], schema=_FOUND)
 
@@ -248,21 +293,19 @@ def best_chain(hits: list[dict], most: int, least: float = 0.0) -> int:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, min_words: int = MIN_WORDS, min_literal: int = MIN_LITERAL, min_coverage: float = MIN_COVERAGE, most_sent: int = MOST_SENT) -> DataFrame:
     """(doc_id, item_id, coverage): the items that contaminate each document, with the covered share of the item's windows."""
-    items = documents(benchmark, "item_id", "text").dropDuplicates()
+    items = documents(benchmark, "item_id", "text").dropDuplicates().withColumn("variant", F.row_number().over(W.partitionBy("doc_id").orderBy("text")))
     windows = map_batches(items, lambda b: _emit(b, [], min_literal, None, (width, min_words)), _DDL)
-    windows = windows.groupBy(F.col("id").alias("item_id"), "size", F.col("at").alias("item_at"), "window", F.col("template").alias("item_template")).agg(F.first("slots").alias("item_slots"), F.max("n_windows").alias("n_windows"))
+    windows = windows.select(F.col("id").alias("item_id"), F.col("reading").alias("variant"), "size", F.col("at").alias("item_at"), "window", F.col("template").alias("item_template"), F.col("slots").alias("item_slots"), "n_windows")
     spark = docs.sparkSession
     hashes = windows.select("size", "window").distinct()
-    counts = {r["size"]: r["n"] for r in hashes.groupBy("size").agg(F.count("*").alias("n")).collect()}
-    sizes, wanted = sorted(counts), None
-    if sum(counts.values()) <= most_sent:
-        sent = np.array([r["window"] for r in hashes.select("window").distinct().collect()], np.int64).view(np.uint64)
-        wanted = spark.sparkContext.broadcast(np.sort(sent))
+    counts = {r["size"]: r["n"] for r in hashes.groupBy("size").agg(F.count("*").alias("n")).collect()}  # a row for each width up to the main one
+    sizes = sorted(counts)
+    wanted = spark.sparkContext.broadcast(wanted_windows(hashes, sum(counts.values()), most_sent))
     texts = documents(docs).where("doc_id is not null and text <> ''")
-    found = map_batches(texts, lambda b: _emit(b, sizes, min_literal, None if wanted is None else wanted.value, None), _DDL)
+    found = map_batches(texts, lambda b: _emit(b, sizes, min_literal, wanted.value, None), _DDL)
     found = found.select(F.col("id").alias("doc_id"), "reading", "size", "at", "window", "template", "slots")
     hits = found.join(windows, ["size", "window"]).where("template = item_template")
-    hits = hits.groupBy("doc_id", "item_id", "reading").agg(F.max("n_windows").alias("n_windows"), F.collect_set(F.struct("at", "item_at", "template", "item_slots", "slots")).alias("hits"))
+    hits = hits.groupBy("doc_id", "item_id", "variant", "reading").agg(F.max("n_windows").alias("n_windows"), F.collect_set(F.struct("at", "item_at", "template", "item_slots", "slots")).alias("hits"))
     # Fewer matches than that are no occurrence, however they lie.
     hits = hits.where(F.size("hits") >= F.col("n_windows") * min_coverage - 1)
 
