@@ -4,8 +4,8 @@ Features are hashed into ``2**BITS`` weights: words, word pairs, and pairs of wo
 signs, whether the word repeats the one before). A text's features are weighted by count over its
 length, so the score of a text is a sparse dot product through the logistic function, however long the text is.
 
-Training takes at most ``max_rows`` labelled documents, those with the smallest hash of doc_id (the one bounded
-sample; a parameter), and runs in one task; the rest of the engine sees only the weights. Labels that are null or that
+Training takes at most ``max_rows`` labelled documents and ``max_chars`` characters of them, in order of the hash of doc_id (the one bounded
+sample; both are parameters), and runs in one task; the rest of the engine sees only the weights. Labels that are null or that
 disagree for a doc_id are left out. Without labelled rows of both classes no document is rejected.
 
 Defined results: null and empty texts score null and are kept (there is nothing to judge); null doc_ids and repeated
@@ -26,6 +26,8 @@ from quillspark.llm.common import Bounded, documents, hash64, map_batches, mix,
 
 BITS = 18
 MAX_ROWS = 8000
+#: Characters of labelled texts that are trained on at most; a text that would go beyond is left out whole. About 6 bytes of memory each.
+MAX_CHARS = 64_000_000
 THRESHOLD = 0.5
 EPOCHS = 4
 _SCALE = 30.0
@@ -91,7 +93,7 @@ def _sparse(text: str) -> tuple[np.ndarray, np.ndarray]:
     return index, counts * (_SCALE / max(1, counts.sum()))
 
 
-def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> tuple[np.ndarray, float]:
+def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_chars: int = MAX_CHARS) -> tuple[np.ndarray, float]:
     """Weights and bias from a bounded sample of the labelled documents."""
     ship(docs.sparkSession)
     chosen = (
@@ -105,12 +107,15 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> tuple
         .limit(max_rows)
     )
     rows = documents(docs).where("text <> ''").join(F.broadcast(chosen), "doc_id")  # at most max_rows rows of 12 bytes
-    rows = rows.select("label", "text").repartition(1).sortWithinPartitions(F.xxhash64("text"), "text", "label")
+    rows = rows.select("label", "text", "doc_id").repartition(1).sortWithinPartitions(F.xxhash64("doc_id"), F.xxhash64("text"), "text", "label")
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = []
-        for batch in sliced(batches):
+        held, chars = [], 0
+        for batch in sliced(batches, 64):
             for label, text in zip(batch.column(0).to_pylist(), texts_of(batch)):
+                if chars + len(text) > max_chars:
+                    continue
+                chars += len(text)
                 index, value = _sparse(text)
                 held.append((label, index.astype(np.int32), value.astype(np.float32)))
         bad = sum(1 for label, _, _ in held if label == 0)
