@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillspark.llm import bpe, decontam, jaccard, linededup, quality
-from quillspark.llm.common import table, written
+from quillspark.llm.common import clean, release, table, unused, written
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,9 +23,15 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later copies of repeated line runs are deleted; a document that has lost all its lines goes, one that had none stays."""
-    done = linededup.dedup_lines(docs).where("n_lines is null or n_lines = 0 or n_deleted < n_lines")
-    return done.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    """Later copies of repeated line runs are deleted; a document that has lost all its lines goes, one that had none stays.
+
+    n_chars follows the text where there is such a column; columns of any other name are carried as they are.
+    """
+    lines, deleted, reach = unused(docs.columns, *linededup.COUNTS)
+    done = linededup.dedup_lines(docs, counts=(lines, deleted, reach)).where(f"`{lines}` is null or `{lines}` = 0 or `{deleted}` < `{lines}`")
+    if "n_chars" in docs.columns:
+        done = done.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return done.select(*(f"`{c}`" for c in docs.columns))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,8 +41,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item, re-parameterised or not."""
-    hit = decontam.decontaminate(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("__hit")).distinct()
-    return docs.join(hit, docs["doc_id"].cast("bigint") == hit["__hit"], "left_anti")
+    [mark] = unused(docs.columns, "__hit")
+    hit = decontam.decontaminate(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias(mark)).distinct()
+    return docs.join(hit, docs["doc_id"].cast("bigint") == hit[mark], "left_anti")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,7 +64,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """Tokens of the documents that are left. What stages have written goes as soon as the next one's documents are there."""
+    docs, first = table(spark, sf_dir, "documents"), clean(spark, since=1 << 60)
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name)
+        clean(spark, first, keep=1)
+        release(spark)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -86,35 +86,40 @@ def repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     return rows.groupBy("doc_id", "th").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("ats")))).alias("gone"), F.max("k").alias("longest"))
 
 
-def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+COUNTS = ("n_lines", "n_deleted", "run_reach")
+
+
+def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, counts: tuple[str, str, str] = COUNTS) -> DataFrame:
     """The rows of docs with later copies of line runs deleted from text, and n_lines, n_deleted and run_reach beside them.
 
     n_lines and n_deleted count lines that are not blank; run_reach is the largest power of two not above the
     length of the longest run found in the document, 0 if none. All columns of docs are kept; those of the three new
-    names are replaced.
+    names are replaced. counts: other names for the three.
     """
     ship(docs.sparkSession)
-    names = [c for c in docs.columns if c not in ("n_lines", "n_deleted", "run_reach")]
+    names = [c for c in docs.columns if c not in counts]
     base = docs.select(F.struct(*names).alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("th"))
-    joined = base.join(repeated_lines(docs, min_chars), ["doc_id", "th"], "left").select("row.*", F.col("gone").alias("__gone"), F.col("longest").alias("__longest"))
-    at, n = names.index("text"), len(names)
-    schema = docs.select(*names).schema.add("n_lines", "integer").add("n_deleted", "integer").add("run_reach", "integer")
+    joined = base.join(repeated_lines(docs, min_chars), ["doc_id", "th"], "left").select("row", "gone", "longest")
+    at = names.index("text")
+    schema = docs.select(*names).schema
+    for c in counts:
+        schema = schema.add(c, "integer")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, 512):
-            texts, counts, deleted = [], [], []
-            for text, gone in zip(batch.column(at).to_pylist(), batch.column(n).to_pylist()):
+            texts, real, deleted = [], [], []
+            row = batch.column(0).flatten()
+            for text, gone in zip(row[at].to_pylist(), batch.column(1).to_pylist()):
                 lines = text.split("\n") if text else []
-                counts.append(None if text is None else sum(1 for x in lines if x.strip(" \t\r")))
+                real.append(None if text is None else sum(1 for x in lines if x.strip(" \t\r")))
                 deleted.append(None if text is None else len(gone or ()))
                 if gone:
                     drop = set(gone)
                     text = "\n".join(x for k, x in enumerate(lines) if k not in drop)
                 texts.append(text)
-            columns = [batch.column(k) for k in range(n)]
-            columns[at] = pa.array(texts, pa.string())
-            reach = [x or 0 for x in batch.column(n + 1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*columns, *(pa.array(x, pa.int32()) for x in (counts, deleted, reach))], [*names, "n_lines", "n_deleted", "run_reach"])
+            row[at] = pa.array(texts, pa.string())
+            reach = [x or 0 for x in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*row, *(pa.array(x, pa.int32()) for x in (real, deleted, reach))], [*names, *counts])
 
     return joined.mapInArrow(work, schema)
 

@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from quillspark.llm import exactdup, jaccard, linededup, suffixdedup
 
@@ -51,24 +52,60 @@ def brute_jaccard(rows, threshold=0.5, n=3):
     return best
 
 
-def test_jaccard_pairs(spark, corpus):
-    want, docs = brute_jaccard(corpus), frame(spark, corpus)
-    exact = {(r["doc_a"], r["doc_b"]): r["jaccard"] for r in jaccard.similar_pairs(docs, tables=0).collect()}
-    assert exact.keys() == want.keys() and all(abs(exact[k] - want[k]) < 2e-6 for k in want)
-    found = [(r["doc_a"], r["doc_b"], r["jaccard"]) for r in jaccard.similar_pairs(docs).collect()]
-    pairs = {(a, b) for a, b, _ in found}
-    assert pairs <= want.keys() and len(pairs & want.keys()) >= 0.9 * len(want)
-    assert Counter((a, b) for a, b, _ in found if b < 2000 and a != 0).most_common(1)[0][1] == 1
-    assert jaccard.similar_pairs(docs.limit(0)).count() == 0
+def brute_classes(rows, threshold=0.5, n=3):
+    """(doc_id, set) to (class_id, n_links), and the pairs of different sets by their least doc_ids."""
+    docs = set()
+    for d, t in rows:
+        if d is not None and t and t.split():
+            w = t.lower().split()
+            m = min(n, len(w))
+            docs.add((d, frozenset(tuple(w[i : i + m]) for i in range(len(w) - m + 1))))
+    docs = sorted(docs, key=lambda x: (x[0], sorted(x[1])))
+    links, edges, pairs, least = Counter(), [], {}, {}
+    for d, x in docs:
+        least[x] = min(d, least.get(x, d))
+    for i, (a, x) in enumerate(docs):
+        for k, (b, y) in enumerate(docs[:i]):
+            j = len(x & y) / len(x | y)
+            if j >= threshold:
+                links[a, x] += 1
+                links[b, y] += 1
+                edges.append((i, k))
+                if x != y:
+                    pairs[tuple(sorted((least[x], least[y]))), frozenset((x, y))] = round(j, 6)
+    root = groups_of(edges)
+    of = defaultdict(set)
+    for i, r in root.items():
+        of[r].add(docs[i][0])
+    return {docs[i]: (min(of[r]), links[docs[i]]) for i, r in root.items()}, Counter((*k[0], j) for k, j in pairs.items())
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_jaccard_classes(spark, corpus, small, monkeypatch):
+    if small:  # many blocks of documents, and every tile divided
+        monkeypatch.setattr(jaccard, "AT_ONCE", 500)
+        monkeypatch.setattr(jaccard, "_HOT", 0)
+        monkeypatch.setattr(jaccard, "BLOCK", 3)
+    rng = random.Random(8)
+    text = prose(rng, 80).split()
+    many = [(5000 + k, " ".join(rng.choice(WORDS) if rng.random() < 0.06 else w for w in text)) for k in range(60)]
+    rows = [*corpus, *many, *((6000 + k, "the same text in many rows of the table") for k in range(40))]
+    classes, pairs = brute_classes(rows)
+    docs = frame(spark, rows)
+    assert Counter(map(tuple, jaccard.similar_documents(docs).collect())) == Counter((d, *v) for (d, _), v in classes.items())
+    assert Counter(map(tuple, jaccard.similar_pairs(docs).collect())) == pairs
+    assert jaccard.similar_documents(docs.limit(0)).count() == 0
 
 
 def test_jaccard_bitmap_bounds_from_above():
     rng = np.random.default_rng(2)
     for bits in (64, 256):
-        a, b = (np.unique(rng.integers(0, 1 << 63, 90, dtype=np.uint64)) for _ in range(2))
+        a, b = (np.unique(rng.integers(0, 1 << 48, 90, dtype=np.uint64)) for _ in range(2))
         b = np.unique(np.concatenate([b[:30], a[:60]]))
-        apart = int(np.bitwise_count(jaccard.bitmap(a, bits) ^ jaccard.bitmap(b, bits)).sum())
-        assert (len(a) + len(b) - apart) / 2 >= len(np.intersect1d(a, b))
+        x, y = jaccard.bitmaps(np.concatenate([a, b]), np.repeat([0, 1], [len(a), len(b)]), 2, bits)
+        assert (len(a) + len(b) - int(np.bitwise_count(x ^ y).sum())) / 2 >= len(np.intersect1d(a, b))
+        z = jaccard.bitmaps(a, np.zeros(len(a), np.int64), 1, 4 * bits)
+        assert (jaccard.folded(z, bits)[0] == x).all()
 
 
 def groups_of(pairs):
@@ -94,11 +131,16 @@ def test_components_of_a_long_path(spark):
 
 def test_drop_near_copies(spark, corpus):
     docs = frame(spark, corpus)
-    pairs = {(r["doc_a"], r["doc_b"]) for r in jaccard.similar_pairs(docs).collect()}
-    gone = {x for x, r in groups_of(pairs).items() if x != r}
+    gone = {x for x, (root, _) in brute_classes(corpus)[0].items() if x[0] != root}
     kept = jaccard.drop_near_copies(docs)
     assert kept.columns == docs.columns
-    assert Counter((r["doc_id"], r["text"]) for r in kept.collect()) == Counter((d, t) for d, t in corpus if d not in gone or d is None)
+
+    def set_of(text):
+        w = (text or "").lower().split()
+        m = min(3, len(w))
+        return frozenset(tuple(w[i : i + m]) for i in range(len(w) - m + 1))
+
+    assert Counter((r["doc_id"], r["text"]) for r in kept.collect()) == Counter((d, t) for d, t in corpus if (d, set_of(t)) not in gone)
 
 
 def test_exact_copies(spark, corpus):
@@ -110,6 +152,10 @@ def test_exact_copies(spark, corpus):
     docs = frame(spark, corpus)
     for bits in (128, 10):  # with few bits hashes collide and the contents decide
         assert sorted((r["doc_id"], r["first_doc_id"], r["n_copies"]) for r in exactdup.exact_copies(docs, bits).collect()) == want
+    assert sorted((r["doc_id"], r["first_doc_id"], r["n_copies"]) for r in exactdup.exact_copies(docs, hot=2).collect()) == want
+    many = spark.range(50_000).select(F.col("id").alias("doc_id"), F.lit("one text that all rows have").alias("text")).unionByName(spark.range(2500).select(F.lit(7).cast("bigint").alias("doc_id"), F.lit("again").alias("text")))
+    got = exactdup.exact_copies(many, hot=10_000).groupBy("first_doc_id", "n_copies").count().collect()
+    assert sorted(map(tuple, got)) == [(0, 50_000, 50_000), (7, 2500, 2500)]
     assert exactdup.exact_copies(docs.limit(0)).count() == 0
 
 
@@ -198,6 +244,9 @@ def test_suffix_array_dedup(spark, corpus):
     # The order of texts under one doc_id is by hash in the operator; only removable parts depend on it.
     got = Counter((r["doc_id"], covered(r["repeated"]), covered(r["removable"])) for r in suffixdedup.repeated_spans(frame(spark, rows)).collect())
     assert got == want and want
+    for hot in (2, 5):  # anchors of so many occurrences without a bucket
+        again = suffixdedup.repeated_spans(frame(spark, rows), hot).collect()
+        assert Counter((r["doc_id"], covered(r["repeated"]), covered(r["removable"])) for r in again) == want
     assert suffixdedup.repeated_spans(frame(spark, rows).limit(0)).count() == 0
     long = suffixdedup.repeated_spans(frame(spark, [(1, "word " * 20_000), (2, "word " * 20_000 + "end")])).collect()
     assert {r["doc_id"]: r["n_words"] for r in long} == {1: 20_000, 2: 20_000}

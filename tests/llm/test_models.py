@@ -80,6 +80,32 @@ def test_ftrl_learns_and_stays_sparse():
     assert w[11] > 0.5 and w[10] < -0.5 and np.count_nonzero(w) < 502
 
 
+def test_ftrl_is_the_proximal_update():
+    """Against the update written out for one coordinate at a time, with weights from z and n only."""
+    rng, m = np.random.default_rng(4), quality.Ftrl(0.3, 1.0, 0.05, 0.02)
+    z, n, bias = {}, {}, [0.0, 0.0]
+
+    def weight(i):
+        zi = z.get(i, 0.0)
+        return 0.0 if abs(zi) <= 0.05 else -(zi - math.copysign(0.05, zi)) / ((1.0 + math.sqrt(n.get(i, 0.0))) / 0.3 + 0.02)
+
+    for _ in range(300):
+        index = np.sort(rng.choice(40, 5, replace=False))
+        value, label = rng.random(5), int(rng.integers(2))
+        w = {int(i): weight(int(i)) for i in index}
+        b = -bias[0] / ((1.0 + math.sqrt(bias[1])) / 0.3)
+        p = 1 / (1 + math.exp(-(sum(w[int(i)] * v for i, v in zip(index, value)) + b)))
+        for i, v in zip(index.tolist(), value.tolist()):
+            g = (p - label) * v
+            sigma = (math.sqrt(n.get(i, 0.0) + g * g) - math.sqrt(n.get(i, 0.0))) / 0.3
+            z[i], n[i] = z.get(i, 0.0) + g - sigma * w[i], n.get(i, 0.0) + g * g
+        e = p - label
+        bias[0] += e - (math.sqrt(bias[1] + e * e) - math.sqrt(bias[1])) / 0.3 * b
+        bias[1] += e * e
+        m.learn(index, value, label)
+    assert np.allclose([m.weights()[i] for i in range(40)], [weight(i) for i in range(40)], atol=1e-9)
+
+
 def edits(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
@@ -91,7 +117,7 @@ def edits(a, b):
 
 def test_matcher_is_edit_distance():
     rng, terms = random.Random(6), {"idiot": 1, "worthless": 2, "scum": 0, "pathetic": 1, "worthy": 1}
-    m = toxicity.Matcher(terms, [])
+    m = toxicity.Matcher(terms, {})
     words = {"idiot", "idoit", "worthles", "wrthlss", "scums", "scum", "", "x" * 40}
     for t in terms:
         for _ in range(200):
@@ -110,13 +136,58 @@ def test_matcher_is_edit_distance():
         near = [(edits(w, t), t) for t in terms if edits(w, t) <= terms[t]]
         got = m.match(w)
         assert (got is None) == (not near) and (got is None or got[1] == min(near)[0])
-    tiny = toxicity.Matcher(terms, [], most_states=5)
+    tiny = toxicity.Matcher(terms, {}, most_states=5)
     assert all((tiny.match(w) or (0, 9))[1] == (m.match(w) or (0, 9))[1] for w in words)
-    assert toxicity.Matcher({}, ["brok"]).match("broken") == ("brok", 0)
+    assert toxicity.Matcher({}, {"brok": 0}).match("broken") == ("brok", 0)
+
+
+def test_matcher_allows_edits_within_stems():
+    rng, terms, stems = random.Random(7), {"brokers": 1, "idiot": 0}, {"broke": 1, "stupid": 1, "moro": 0}
+    m = toxicity.Matcher(terms, stems)
+    words = set()
+    for stem in stems:
+        for _ in range(300):
+            w = list(stem + rng.choice(["", "n", "ness", "rs", "ity"]))
+            for _ in range(rng.randint(0, 2)):
+                k = rng.randrange(len(w))
+                w[k : k + rng.randint(0, 1)] = rng.choice(["", "x", "o", "e"])
+            words.add("".join(w))
+    for w in words:
+        near = [edits(w, t) for t in terms if edits(w, t) <= terms[t]]
+        near += [e for t in stems if (e := min(edits(w[:k], t) for k in range(len(w) + 1))) <= stems[t]]
+        got = m.match(w)
+        assert (got is None) == (not near) and (got is None or got[1] == min(near)), w
+
+
+def brute_toxicity(text, terms):
+    """The score by the docstring: weights by edits, quotation, reporting and address within six words, joined as independent evidence."""
+    words, rest = text.lower().split(), 1.0
+    strip = lambda w: w.strip("\"'`“”‘’«».,;:!?()[]{}<>…*_~|-")
+    for k, word in enumerate(words):
+        near = sorted((edits(strip(word), t), -len(t)) for t in terms if edits(strip(word), t) <= terms[t])
+        if not near:
+            continue
+        window = [strip(w) for w in words[max(0, k - 6) : k] + words[k + 1 : k + 7]]
+        before, after = " ".join(words[max(0, k - 6) : k]) + " " + word.split(strip(word))[0], word.split(strip(word))[-1] + " " + " ".join(words[k + 1 : k + 7])
+        quoted = before.count('"') % 2 == 1 and after.count('"') % 2 == 1
+        weight = (0.8, 0.55, 0.4)[near[0][0]] * (0.4 if quoted else 1) * (0.6 if {"said", "called", "word", "insult"} & set(window) else 1)
+        if {"you", "your"} & set(window) and not quoted:
+            weight = 1 - (1 - weight) * 0.6
+        rest *= 1 - weight
+    return round(1 - rest, 6)
+
+
+def test_scores_match_brute_force():
+    rng, terms = random.Random(3), {"idiot": 1, "worthless": 2, "scum": 0}
+    s = toxicity.Scorer(terms, {})
+    pool = ["the", "a", "you", "your", "said", "called", "word", "insult", '"idiot"', "idiot", "idoit", "worthles", "wrthles!", "scum,", '"a', 'b"', "plain", "text", "more", "of", "it", "here", "and", "there"]
+    for _ in range(400):
+        text = " ".join(rng.choice(pool) for _ in range(rng.randint(1, 30)))
+        assert s.score(text)[0] == brute_toxicity(text, terms), text
 
 
 def test_quotation_counts_less():
-    s = toxicity.Scorer({"idiot": 1}, [])
+    s = toxicity.Scorer({"idiot": 1}, {})
     plain, misspelt, quoted, address = (s.score(t)[0] for t in ("what an idiot he is", "what an idiott he is", 'the word "idiot" is an insult he said', "you idiot"))
     assert quoted < 0.5 <= misspelt < plain <= address
     assert s.score("a clean sentence") == (0.0, [])
@@ -132,6 +203,18 @@ def test_toxicity_on_the_tables(spark):
     assert sum(got[k] for k in want if not want[k]) <= 0.005 * len(want)
 
 
+def test_toxicity_held_out(spark):
+    """Mined from one half of the labels, held against the other."""
+    at = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{at}/documents.parquet"), spark.read.parquet(f"{at}/labels.parquet").where("toxic is not null")
+    mined, held = labels.where("pmod(xxhash64(doc_id, 5), 2) = 0"), labels.where("pmod(xxhash64(doc_id, 5), 2) = 1")
+    want = {r["doc_id"]: r["toxic"] for r in held.collect()}
+    got = {r["doc_id"]: r["toxic"] for r in toxicity.score_toxicity(docs, mined).collect()}
+    bad = [k for k in want if want[k]]
+    assert sum(got[k] for k in bad) >= 0.9 * len(bad)
+    assert sum(got[k] for k in want if not want[k]) <= 0.005 * len(want)
+
+
 def test_toxicity_edges(spark):
     docs = docs_of(spark, [(1, "you idiot"), (1, "you idiot"), *EDGE])
     got = [(r["doc_id"], r["score"], r["toxic"]) for r in toxicity.score_toxicity(docs).collect()]
@@ -212,11 +295,9 @@ def test_language_model_is_normalised_and_learns(spark):
     train = docs_of(spark, [(k, text(False)) for k in range(4000)])
     words, frequency = lmscore.choose_vocabulary(train, 128)
     model = lmscore.train(train, words, frequency)
-    tables = lmscore.Tables(model)
     v = len(words)
     for w1, w2 in ((1, 1), (5, 9), (0, 3)):
-        total = sum(math.exp(float(tables.log_probabilities(np.array([w1, w2, w]))[0])) for w in range(v))
-        assert abs(total - 1) < 1e-3
+        assert abs(np.exp(model.log_probabilities(np.full(v, w1), np.full(v, w2), np.arange(v))).sum() - 1) < 1e-3
     test = docs_of(spark, [(k, text(k >= 20)) for k in range(40)])
     got = {r["doc_id"]: r["perplexity"] for r in lmscore.score_documents(test, model, words).collect()}
     natural, odd = np.mean([got[k] for k in range(20)]), np.mean([got[k] for k in range(20, 40)])
@@ -227,19 +308,53 @@ def test_language_model_scores_match_a_direct_sum(spark):
     docs = docs_of(spark, [(1, "a b c a b"), (2, "zzz unseen"), (None, "a"), (1, "a b c a b"), *EDGE[:3]])
     words, frequency = lmscore.choose_vocabulary(docs, 8)
     model = lmscore.train(docs, words, frequency)
-    known = lmscore.Numbers(words)
+    known = lmscore.numbers(words)
     for r in lmscore.score_documents(docs, model, words).collect():
         if r["doc_id"] == 9001:
             assert r["log_prob"] is None and r["n_words"] is None
             continue
-        ids = lmscore.word_ids(dict([(1, "a b c a b"), (2, "zzz unseen"), (None, "a"), (9002, ""), (9003, " ")])[r["doc_id"]], known)
+        ids = lmscore.word_ids(dict([(1, "a b c a b"), (2, "zzz unseen"), (None, "a"), (9002, ""), (9003, " ")])[r["doc_id"]].split(), known)
         want = 0.0
         for w1, w2, w in zip(ids, ids[1:], ids[2:]):
-            scores = model.q.astype(float) @ (model.c[0] * model.r[w1] + model.c[1] * model.r[w2]) + model.b
-            want += scores[w] - np.log(np.exp(scores).sum())
+            context = model.scales[0] * model.r[w1] + model.scales[1] * model.r[w2]
+            k = w // model.width
+            own = slice(k * model.width, (k + 1) * model.width)
+            classes, inside = model.s.astype(float) @ context + model.t, model.q[own].astype(float) @ context + model.b[own]
+            want += classes[k] - np.log(np.exp(classes).sum()) + inside[w - own.start] - np.log(np.exp(inside).sum())
         assert abs(r["log_prob"] - want) < 1e-3 * max(1, abs(want)) and r["n_words"] == len(ids) - 3
 
 
+def test_contrast_gradient_is_the_slope_of_the_objective():
+    rng = np.random.default_rng(3)
+    frequency = rng.random(23) + 0.1
+    frequency /= frequency.sum()
+    start = lmscore.Model.fresh(frequency, 4)
+    m = lmscore.Model(*(x.astype(np.float64) for x in (start.words, start.scales, start.s, start.t)))
+    noise = lmscore.Noise(frequency, 3, 2)
+    w1, w2, w = rng.integers(0, 23, (3, 40))
+    drawn = noise.draw()
+    assert (drawn[1] // m.width == np.arange(len(m.t))[:, None]).all()
+    _, g = lmscore.contrast(m, noise, w1, w2, w, *drawn)
+    whole = {"scales": g["scales"], "s": g["s"], "t": g["t"], "words": np.zeros_like(m.words)}
+    whole["words"][g["r"][0], :4] += g["r"][1]
+    whole["words"][g["q"][0], 4:] += g["q"][1]
+    for name, want in whole.items():
+        x = getattr(m, name)
+        for at in np.ndindex(x.shape):
+            was, slope = x[at], []
+            for move in (1e-5, -1e-5):
+                x[at] = was + move
+                slope.append(lmscore.contrast(m, noise, w1, w2, w, *drawn, measured=True)[0])
+            x[at] = was
+            assert abs((slope[0] - slope[1]) / 2e-5 - want[at]) < 1e-4 * max(1, abs(want[at])), (name, at)
+
+
+def test_vocabulary_grows_with_the_corpus(spark):
+    assert lmscore.vocabulary_size(10**6) < lmscore.vocabulary_size(10**8) < lmscore.vocabulary_size(10**11) == lmscore.MOST_WORDS
+    docs = docs_of(spark, [(1, "a a a a b b b c c d")])
+    assert lmscore.choose_vocabulary(docs, 5)[0][2:] == ["a", "b", "c"] and lmscore.choose_vocabulary(docs, 2)[0][2:] == []
+
+
 def test_language_model_tells_unknown_words_apart(spark):
     common = " ".join(["a b c"] * 9)
     rows = [(k, f"{common} bald{'abcdefgh'[k % 8]}eren {common}") for k in range(40)]

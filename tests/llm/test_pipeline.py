@@ -38,6 +38,11 @@ def test_stages_take_anything(spark):
     schema = "doc_id bigint, text string, lang string, source string, n_chars bigint, gone string, named int"
     rows = [(1, "a long enough line of text here\nanother long enough line of text", "en", "s", 1, "g", 1), (1, "a long enough line of text here\nanother long enough line of text", "en", "s", 1, "g", 1), (None, None, None, None, None, None, None), (2, "", "en", "s", 0, "g", 1), (None, "text without an id", "en", "s", 1, "g", 1), (3, "\n", "en", "s", 1, "g", 1)]
     docs = spark.createDataFrame(rows, schema)
+    clashing = docs.selectExpr("doc_id", "text", "'a' as n_lines", "'b' as n_deleted", "'c' as run_reach", "'d' as __hit", "'e' as __gone", "'f' as th", "'g' as row")
+    for name, stage in corpus_pipeline.STAGES[:-1]:  # no n_chars, and names that operators use
+        out = stage(spark, clashing, SF)
+        assert out.columns == clashing.columns
+        assert all(tuple(r)[2:] == tuple("abcdefg") for r in out.collect())
     for name, stage in corpus_pipeline.STAGES:
         for table in (docs, docs.limit(0)):
             out = stage(spark, table, SF)
