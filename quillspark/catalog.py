@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from quillspark import plans
-from quillspark.plans import answers, chunks, corpus, index, pages, semantics  # noqa: F401  (they register their queries)
+from quillspark.plans import answers, checks, chinese, chunks, corpus, index, pages, round_trips, semantics  # noqa: F401  (they register their queries)
 
 
 def queries() -> dict[str, plans.Query]:

@@ -11,7 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillspark.functions.text import CJK, UNIT, col, fold, fold_cjk, given
+from quillspark.functions.text import CJK, UNIT, col, fold, fold_cjk, given, let
 
 #: Functions of this module travel whole, so executors need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -98,11 +98,17 @@ def join_lines_cjk(lines: str | Column) -> Column:
     """Visual lines as running text: nothing between ideographs, a hyphen at a line's end joins, else one blank."""
     clean = F.filter(F.transform(col(lines), fold_cjk), lambda x: x != "")
 
-    def step(s: Column, x: Column) -> Column:
-        dense = s.rlike(rf"[{CJK}]$") & x.rlike(rf"^[{CJK}]")
-        return F.when(s == "", x).when(dense, F.concat(s, x)).when(s.endswith("-"), F.concat(F.regexp_replace(s, "-$", ""), x)).otherwise(F.concat(s, F.lit(" "), x))
+    def glued(xs: Column) -> Column:
+        """Each line with what stands between it and the next, which the two alone decide."""
 
-    return fold_cjk(F.aggregate(clean, F.lit(""), step))
+        def one(x: Column, i: Column) -> Column:
+            following = F.get(xs, i + 1)
+            dense = x.rlike(rf"[{CJK}]$") & following.rlike(rf"^[{CJK}]")
+            return F.when(following.isNull() | dense, x).when(x.endswith("-"), F.regexp_replace(x, "-$", "")).otherwise(F.concat(x, F.lit(" ")))
+
+        return F.array_join(F.transform(xs, one), "")
+
+    return fold_cjk(let(clean, glued))
 
 
 def paragraph_sentences(paragraphs: str | Column) -> Column:

@@ -1,13 +1,19 @@
 """Chunking: gap windows, semantic boundaries, and the folds that turn boundaries into ranges of sentences.
 
-All folds are ``aggregate`` expressions over arrays of one section, so sections spread over the cluster and none leaves the JVM.
-Only the encoder and the cutting of overlong sentences are Arrow functions.
+All folds work on arrays of one section, so sections spread over the cluster. Sentences are split, counted and joined by expressions in the JVM.
+Folds whose state is text are ``aggregate`` expressions; those over sizes alone run in Arrow batches, where only
+whole numbers travel: as expressions they copied their state at every step and took most of a query's time.
 """
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Callable
 from dataclasses import dataclass
+from itertools import accumulate
 
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +22,9 @@ from quillspark.functions.text import col, fold, given, let, section_key, slug,
 from quillspark.functions.vectors import cosine
 from quillspark.operators.registry import record_identifier
 
+#: Functions of this module travel whole, so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _RANGES = "array<struct<start:int,stop:int>>"
 
 
@@ -112,10 +121,6 @@ def ranges(count: str | Column, cuts: str | Column) -> Column:
     return let(let(col(count).cast("int"), edges), paired)
 
 
-def _between(values: Column, r: Column) -> Column:
-    return F.aggregate(F.slice(values, r["start"] + 1, r["stop"] - r["start"]), F.lit(0), lambda a, x: a + x)
-
-
 def _from_stops(first: Column, stops: Column) -> Column:
     """Neighbouring ranges from where the first begins and where each ends. Folds keep the ends only: their state is copied at every step."""
     return F.zip_with(F.concat(F.array(first), F.slice(stops, F.lit(1), F.size(stops) - 1)), stops, lambda a, b: F.struct(a.alias("start"), b.alias("stop")))
@@ -125,6 +130,61 @@ def _joined(texts: Column, r: Column) -> Column:
     return join_lines_cjk(F.slice(texts, r["start"] + 1, r["stop"] - r["start"]))
 
 
+def _totals(sizes) -> list[int]:
+    return [0, *accumulate(map(int, sizes))]
+
+
+def merged_stops(first: int, stops: list[int], sizes, limits: Limits, backward: bool = False) -> list[int]:
+    """Where neighbouring ranges end once short ones are joined to the next while both stay within limits."""
+    total, start, stop, out = _totals(sizes), first, stops[0], []
+    for following in stops[1:]:
+        if total[stop] - total[start] < limits.least and total[following] - total[start] <= limits.most:
+            stop = following
+        else:
+            out.append(stop)
+            start, stop = stop, following
+    if backward and out and total[stop] - total[start] < limits.least and total[stop] - total[out[-2] if len(out) > 1 else first] <= limits.most:
+        out.pop()
+    return [*out, stop]
+
+
+def cut_stops(first: int, stops: list[int], sizes, limits: Limits) -> list[int]:
+    """Where neighbouring ranges end once those over the limit are cut between sentences."""
+    total, start, out = _totals(sizes), first, []
+    for stop in stops:
+        if total[stop] - total[start] > limits.most:
+            begin = start
+            for i in range(start, stop):
+                if i - begin + 1 > limits.min_sentences and total[i + 1] - total[begin] > limits.most:
+                    out.append(i)
+                    begin = i
+        out.append(stop)
+        start = stop
+    return out
+
+
+def packed_stops(sizes, most: int) -> list[int]:
+    """Where ranges end that are packed in order up to a size."""
+    total, begin, out = _totals(sizes), 0, []
+    for i in range(len(total) - 1):
+        if i > begin and total[i + 1] - total[begin] > most:
+            out.append(i)
+            begin = i
+    return [*out, len(total) - 1] if len(total) > 1 else []
+
+
+def _over_sizes(found: Column, sizes: Column, fold: Callable[[int, list[int], object], list[int]]) -> Column:
+    """A fold of neighbouring ranges and sizes, in Arrow batches of whole numbers."""
+
+    @F.pandas_udf("array<int>")
+    def folded(starts: pd.Series, stops: pd.Series, sizes: pd.Series) -> pd.Series:
+        return pd.Series([None if b is None else [] if not len(b) else fold(int(a[0]), [int(x) for x in b], n) for a, b, n in zip(starts, stops, sizes)], dtype=object)
+
+    # Not said to be deterministic, so that a filter on the result isn't moved before it and evaluated a second time.
+    stops = folded.asNondeterministic()(F.transform(found, lambda r: r["start"]), F.transform(found, lambda r: r["stop"]), sizes)
+    return F.when(F.size(found) > 0, _from_stops(F.get(found, F.lit(0))["start"], stops)).otherwise(F.array().cast(_RANGES))
+
+
 def merge_short(found: str | Column, sizes: str | Column, limits: Limits = EN, texts: str | Column | None = None, backward: bool = False) -> Column:
     """Ranges with short ones joined to the next while both together stay within limits.
 
@@ -133,22 +193,21 @@ def merge_short(found: str | Column, sizes: str | Column, limits: Limits = EN, t
     """
     if limits.least <= 0:
         return col(found)
-    bound = F.struct(col(found).alias("r"), col(sizes).alias("n"), *([] if texts is None else [col(texts).alias("t")]))
-    return let(bound, lambda v: _merged(v["r"], v["n"], None if texts is None else v["t"], limits, backward))
+    if texts is None:
+        return _over_sizes(col(found), col(sizes), lambda first, stops, n: merged_stops(first, stops, n, limits, backward))
+    return let(F.struct(col(found).alias("r"), col(texts).alias("t")), lambda v: _merged(v["r"], v["t"], limits, backward))
 
 
-def _merged(r: Column, sizes: Column, lines: Column | None, limits: Limits, backward: bool) -> Column:
+def _merged(r: Column, lines: Column, limits: Limits, backward: bool) -> Column:
     def joined(a: Column, b: Column) -> Column:
         """Two neighbouring ranges as one, with its size and characters."""
-        both = F.struct(a["start"].alias("start"), b["stop"].alias("stop"))
-        return measured(both) if lines is not None else F.struct(a["start"].alias("start"), b["stop"].alias("stop"), (a["n"] + b["n"]).alias("n"), F.lit(0).alias("c"))
+        return measured(F.struct(a["start"].alias("start"), b["stop"].alias("stop")))
 
     def measured(x: Column) -> Column:
-        n, c = (_between(sizes, x), F.lit(0)) if lines is None else (unit_count(_joined(lines, x)), F.length(_joined(lines, x)))
-        return F.struct(x["start"].alias("start"), x["stop"].alias("stop"), n.alias("n"), c.alias("c"))
+        return F.struct(x["start"].alias("start"), x["stop"].alias("stop"), unit_count(_joined(lines, x)).alias("n"), F.length(_joined(lines, x)).alias("c"))
 
     def fits(x: Column) -> Column:
-        return (x["n"] <= limits.most) if lines is None else (x["n"] <= limits.most) & (x["c"] <= limits.most_chars)
+        return (x["n"] <= limits.most) & (x["c"] <= limits.most_chars)
 
     def step(acc: Column, x: Column) -> Column:
         p = acc["p"]
@@ -176,51 +235,39 @@ def split_oversized(found: str | Column, sizes: str | Column, limits: Limits = E
     By words a range is cut only once it holds min_sentences, so a chunk may exceed the limit; with texts the
     characters are limited too, any second sentence may be cut off, and blanks between sentences count.
     """
-    bound = F.struct(col(found).alias("r"), col(sizes).alias("n"), *([] if texts is None else [col(texts).alias("t"), F.transform(col(texts), lambda t: F.length(t)).alias("c")]))
-    return let(bound, lambda v: _split(v["r"], v["n"], None if texts is None else v["t"], None if texts is None else v["c"], limits))
+    if texts is None:
+        return _over_sizes(col(found), col(sizes), lambda first, stops, n: cut_stops(first, stops, n, limits))
+    bound = F.struct(col(found).alias("r"), col(sizes).alias("n"), col(texts).alias("t"), F.transform(col(texts), lambda t: F.length(t)).alias("c"))
+    return let(bound, lambda v: _split(v["r"], v["n"], v["t"], v["c"], limits))
 
 
-def _split(found: Column, sizes: Column, lines: Column | None, length: Column | None, limits: Limits) -> Column:
+def _split(found: Column, sizes: Column, lines: Column, length: Column, limits: Limits) -> Column:
     def cut(r: Column) -> Column:
         start = F.struct(r["start"].alias("st"), F.lit(0).alias("n"), F.lit(0).alias("c"), F.array().cast("array<int>").alias("stops"))
 
         def step(acc: Column, i: Column) -> Column:
-            n = F.get(sizes, i)
-            if length is None:
-                now, c, more = (i - acc["st"] + 1 > limits.min_sentences) & (acc["n"] + n > limits.most), F.lit(0), F.lit(0)
-            else:
-                c = F.get(length, i)
-                more = acc["c"] + F.when((acc["c"] > 0) & (c > 0), 1).otherwise(0) + c
-                now = (i > acc["st"]) & ((acc["n"] + n > limits.most) | (more > limits.most_chars))
+            n, c = F.get(sizes, i), F.get(length, i)
+            more = acc["c"] + F.when((acc["c"] > 0) & (c > 0), 1).otherwise(0) + c
+            now = (i > acc["st"]) & ((acc["n"] + n > limits.most) | (more > limits.most_chars))
             new = F.struct(i.alias("st"), n.alias("n"), c.alias("c"), F.array_append(acc["stops"], i).alias("stops"))
             return F.when(now, new).otherwise(F.struct(acc["st"].alias("st"), (acc["n"] + n).alias("n"), more.alias("c"), acc["stops"].alias("stops")))
 
         return _from_stops(r["start"], F.aggregate(F.sequence(r["start"], r["stop"] - 1), start, step, lambda acc: F.array_append(acc["stops"], r["stop"])))
 
     def over(r: Column) -> Column:
-        if lines is None:
-            return _between(sizes, r) > limits.most
         return (unit_count(_joined(lines, r)) > limits.most) | (F.length(_joined(lines, r)) > limits.most_chars)
 
     return F.flatten(F.transform(found, lambda r: F.when(over(r), cut(r)).otherwise(F.array(r))))
 
 
-def pack(sentences: str | Column, most: int = 260) -> Column:
-    """Ranges of sentences packed in order up to a number of words; one sentence may exceed it alone."""
-
-    def packed(sizes: Column) -> Column:
-        start = F.struct(F.lit(0).alias("st"), F.lit(0).alias("n"), F.lit(0).alias("i"), F.array().cast("array<int>").alias("stops"))
-
-        def step(acc: Column, n: Column) -> Column:
-            i = acc["i"]
-            cut = (i > acc["st"]) & (acc["n"] + n > most)
-            new = F.struct(i.alias("st"), n.alias("n"), (i + 1).alias("i"), F.array_append(acc["stops"], i).alias("stops"))
-            return F.when(cut, new).otherwise(F.struct(acc["st"].alias("st"), (acc["n"] + n).alias("n"), (i + 1).alias("i"), acc["stops"].alias("stops")))
+def pack(sizes: str | Column, most: int = 260) -> Column:
+    """Ranges of sentences, given their words, packed in order up to a number of words; one sentence may exceed it alone."""
 
-        found = _from_stops(F.lit(0), F.aggregate(sizes, start, step, lambda a: F.array_append(a["stops"], a["i"])))
-        return F.when(F.size(sizes) > 0, found).otherwise(F.array().cast(_RANGES))
+    @F.pandas_udf("array<int>")
+    def packed(sizes: pd.Series) -> pd.Series:
+        return pd.Series([None if n is None else packed_stops(n, most) for n in sizes], dtype=object)
 
-    return let(F.transform(col(sentences), word_count), packed)
+    return _from_stops(F.lit(0), packed.asNondeterministic()(col(sizes)))
 
 
 def _numbered(prefix: Column, k: Column) -> Column:
@@ -235,8 +282,8 @@ def abstract_chunks(records: DataFrame, most: int = 260, title: str = "title", a
     """Chunks of records' abstracts, packed by words; records without an abstract give none."""
     have = {c: fold(c) if c in records.columns else F.lit("") for c in ("pmid", "doi", "journal", "year", "source_url")}
     work = records.select(*(v.alias(k) for k, v in have.items()), fold(title).alias("title"), fold(abstract).alias("abstract")).where("abstract <> ''")
-    said = let(split_sentences("abstract"), lambda s: let(F.when(F.size(s) > 0, s).otherwise(F.array(F.col("abstract"))), lambda t: F.struct(t.alias("s"), pack(t, most).alias("p"))))
-    each = work.withColumns({"id": record_identifier(), "__b": said}).select("*", F.col("__b.s").alias("s"), F.posexplode("__b.p").alias("k", "r"))
+    work = work.withColumns({"id": record_identifier(), "s": let(split_sentences("abstract"), lambda s: F.when(F.size(s) > 0, s).otherwise(F.array(F.col("abstract"))))})
+    each = work.withColumn("__n", F.transform("s", word_count)).withColumn("__p", pack("__n", most)).select("*", F.posexplode("__p").alias("k", "r"))
     at, count = _at(F.col("r"))
     text = fold(F.array_join(F.slice("s", at, count), " "))
     url = F.when((F.col("source_url") == "") & (F.col("pmid") != ""), F.concat(F.lit("https://pubmed.ncbi.nlm.nih.gov/"), "pmid", F.lit("/"))).otherwise(F.col("source_url"))

@@ -2,16 +2,27 @@
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quillspark.functions.text import given
-from quillspark.functions.vectors import dot, unit
+from quillspark.functions.vectors import unit
+
+#: Functions of this module travel whole, so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 TOP_K = 8
-#: Query vectors that may be sent to every task; a larger set is processed in groups that are each joined without a broadcast.
+#: Query vectors that may be sent to every task; a larger set meets the index block by block instead.
 MOST_SENT = 10_000
+#: Vectors of a block.
+BLOCK = 4096
 
 
 def build_index(embeddings: DataFrame, vector: str = "embedding") -> DataFrame:
@@ -19,18 +30,78 @@ def build_index(embeddings: DataFrame, vector: str = "embedding") -> DataFrame:
     return embeddings.withColumn(vector, unit(vector))
 
 
+def _matrix(column: pa.Array) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
+
+
+def _best(place: np.ndarray, score: np.ndarray, row: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of (query, score, row) triples the k best of each query: the highest scores, then the lowest rows."""
+    order = np.lexsort((row, -score, place))
+    place, score, row = place[order], score[order], row[order]
+    begins = np.flatnonzero(np.r_[True, place[1:] != place[:-1]]) if len(place) else place
+    rank = np.arange(len(place)) - np.repeat(begins, np.diff(np.r_[begins, len(place)]))
+    return place[rank < k], score[rank < k], row[rank < k]
+
+
+def _hopeful(products: np.ndarray, rows: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Triples of a (queries, rows) matrix that may be among the k best."""
+    products = np.round(products, 9)  # sums in another order must not break ties
+    if products.shape[1] > k:
+        place, at = np.nonzero(products >= np.partition(products, products.shape[1] - k, axis=1)[:, products.shape[1] - k, None])
+    else:
+        place, at = (x.ravel() for x in np.indices(products.shape))
+    return place, products[place, at], rows[at]
+
+
 def search(index: DataFrame, queries: DataFrame, k: int = TOP_K, query_id: str = "query_id", row: str = "row_index", vector: str = "embedding", most_sent: int = MOST_SENT) -> DataFrame:
-    """(query_id, row_index, score, rank): the k rows of greatest inner product for every query; ties by row.
+    """(query_id, row_index, score, rank): the k rows of greatest inner product for every query; ties (to nine places) by row.
 
-    Queries are few beside an index and are sent to its partitions when their number allows. The window keeps k rows for a query
-    in each task before it shuffles, so what moves is queries times tasks times k.
+    A batch of rows meets a block of queries in one matrix product, and a task keeps k rows for each query. Queries are sent to the index's partitions when their
+    number allows; else both sides are packed into blocks of at most ``BLOCK`` vectors and every pair of blocks is one product. Null vectors are found by nothing.
     """
-    asked = queries.select(F.col(query_id), F.col(vector).alias("__q"))
-    side = F.broadcast(asked) if asked.limit(most_sent + 1).count() <= most_sent else asked
-    scored = index.select(row, vector).crossJoin(side).select(query_id, row, dot(vector, "__q").alias("__s"))
+    spark, kind = index.sparkSession, {c: df.schema[c].dataType for df, c in ((index, row), (queries, query_id))}
+    schema = f"{query_id} bigint, {row} bigint, __s double"
+    have = index.select(F.col(row).cast("bigint").alias(row), vector).where(F.col(vector).isNotNull())
+    asked = queries.select(F.col(query_id).cast("bigint").alias(query_id), F.col(vector).alias("__q")).where("__q is not null")
+    if asked.limit(most_sent + 1).count() <= most_sent:
+        sent = asked.toArrow().combine_chunks()  # at most most_sent vectors
+        if not sent.num_rows:
+            return spark.createDataFrame([], schema).select(F.col(query_id).cast(kind[query_id]), F.col(row).cast(kind[row]), F.col("__s").alias("score"), F.lit(1).alias("rank")).limit(0)
+        shared = spark.sparkContext.broadcast((sent[query_id].to_numpy(), _matrix(sent["__q"].combine_chunks())))
+
+        def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            ids, matrix = shared.value
+            held = (np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64))
+            for batch in batches:
+                for at in range(0, batch.num_rows, BLOCK):
+                    part = batch.slice(at, BLOCK)
+                    found = _hopeful(matrix @ _matrix(part.column(1)).T, part.column(0).to_numpy(), k)
+                    held = _best(*(np.concatenate(x) for x in zip(held, found)), k)
+            if len(held[0]):
+                yield pa.RecordBatch.from_arrays([pa.array(ids[held[0]]), pa.array(held[2]), pa.array(held[1])], [query_id, row, "__s"])
+
+        scored = have.mapInArrow(nearest, schema)
+    else:
+
+        def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for at in range(0, batch.num_rows, BLOCK):
+                    part = batch.slice(at, BLOCK)
+                    yield pa.RecordBatch.from_arrays([pa.array([part.column(0).to_numpy().tobytes()], pa.binary()), pa.array([_matrix(part.column(1)).tobytes()], pa.binary())], ["ids", "vectors"])
+
+        def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for cells in batch.to_pylist():
+                    rows, ids = (np.frombuffer(cells[c], np.int64) for c in ("ids", "query_ids"))
+                    a, b = (np.frombuffer(cells[c], np.float64).reshape(n, -1) for c, n in (("query_vectors", len(ids)), ("vectors", len(rows))))
+                    place, score, at = _best(*_hopeful(a @ b.T, rows, k), k)
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[place]), pa.array(at), pa.array(score)], [query_id, row, "__s"])
+
+        blocks, questions = (df.mapInArrow(packed, "ids binary, vectors binary") for df in (have, asked))
+        scored = blocks.crossJoin(questions.withColumnsRenamed({"ids": "query_ids", "vectors": "query_vectors"})).mapInArrow(met, schema)
     w = W.partitionBy(query_id).orderBy(F.desc("__s"), row)
     best = scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-    return best.select(query_id, row, F.round("__s", 6).alias("score"), "rank")
+    return best.select(F.col(query_id).cast(kind[query_id]), F.col(row).cast(kind[row]), F.round("__s", 6).alias("score"), "rank")
 
 
 def with_metadata(hits: DataFrame, metadata: DataFrame, row: str = "row_index") -> DataFrame:

@@ -69,13 +69,10 @@ m AS (SELECT doc_id, n, list_append(a.done, a.p) AS r FROM merged)"""
 
 
 def _ranged(spark: SparkSession, sf_dir: str, fold: Callable[[Column, Column], Column]) -> DataFrame:
-    """(doc_id, r): the fold of every third gap's ranges and the sentences' sizes, bound so that sentences are split once."""
-
-    def folded(n: Column) -> Column:
-        r = K.ranges(F.size(n), F.transform(F.sequence(F.lit(1), F.size(n)), lambda k: k * 3))
-        return F.when(F.size(n) > 0, fold(r, n)).otherwise(F.array().cast("array<struct<start:int,stop:int>>"))
-
-    return table(spark, sf_dir, "documents").select("doc_id", let(F.transform(split_sentences("text"), word_count), folded).alias("r"))
+    """(doc_id, r): the fold of every third gap's ranges and the sentences' sizes."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.transform(split_sentences("text"), word_count).alias("n")).where(F.size("n") > 0)
+    docs = docs.withColumn("r", K.ranges(F.size("n"), F.transform(F.sequence(F.lit(1), F.size("n")), lambda k: k * 3)))
+    return docs.select("doc_id", fold(F.col("r"), F.col("n")).alias("r"))
 
 
 def _exploded(df: DataFrame) -> DataFrame:

@@ -66,6 +66,12 @@ def bucket_report(df: DataFrame, title: str, bucket: str = "bucket", extra: dict
     return report_text(title, {"Counts": {b: counts.get(b, 0) for b in ("strict", "review", "excluded")}, **(extra or {})})
 
 
+def write_text(path: str, value: str) -> None:
+    p = Path(path)
+    p.parent.mkdir(parents=True, exist_ok=True)
+    p.write_text(value, encoding="utf-8")
+
+
 def write_json(path: str, value: dict) -> None:
     p = Path(path)
     p.parent.mkdir(parents=True, exist_ok=True)
@@ -76,3 +82,50 @@ def write_row(df: DataFrame, path: str) -> None:
     """A one-row report as JSON, with the time it was made."""
     row = df.first()
     write_json(path, {"created_at": datetime.now(timezone.utc).isoformat(), **(row.asDict(recursive=True) if row else {})})
+
+
+def write_rag_package(folder: str, question: str, found: list[dict], prompt: str, name: str) -> dict[str, str]:
+    """One question's evidence and prompt as a pair of files; their paths."""
+    paths = {"evidence_path": f"{folder}/{name}_evidence.json", "prompt_path": f"{folder}/{name}_prompt.txt"}
+    write_json(paths["evidence_path"], {"created_at": datetime.now(timezone.utc).isoformat(), "question": question, "evidence_count": len(found), "evidence": found})
+    write_text(paths["prompt_path"], prompt)
+    return paths
+
+
+def write_answer(path: str, answer: str, prompt_path: str, settings: dict) -> dict[str, str]:
+    """One answer for reading and with its settings; path is without an ending."""
+    paths = {"answer_md": f"{path}.md", "answer_json": f"{path}.json"}
+    write_json(paths["answer_json"], {"created_at": datetime.now(timezone.utc).isoformat(), "prompt_path": prompt_path, "model_path": settings.get("model_path", ""), "generation": settings.get("generation", {}), "answer": answer})
+    write_text(paths["answer_md"], answer.strip() + "\n")
+    return paths
+
+
+def embedding_manifest(vectors: DataFrame, model_path: str, source: str, vector: str = "embedding") -> dict:
+    """What an embedding table's manifest says: counts, dimensions, type and where it came from."""
+    r = vectors.agg(F.count("*").alias("n"), F.max(F.size(vector)).alias("d")).first()
+    return {"created_at": datetime.now(timezone.utc).isoformat(), "source": source, "model_path": model_path, "chunk_count": r["n"], "embedding_dim": r["d"] or 0, "dtype": "float32", "normalized": True}
+
+
+def index_manifest(vectors: DataFrame, path: str, vector: str = "embedding") -> dict:
+    """As :func:`embedding_manifest` for an index of inner products."""
+    r = vectors.agg(F.count("*").alias("n"), F.max(F.size(vector)).alias("d")).first()
+    return {"created_at": datetime.now(timezone.utc).isoformat(), "index_path": path, "index_type": "exact inner product", "metric": "cosine of unit vectors", "chunk_count": r["n"], "embedding_dim": r["d"] or 0}
+
+
+def merge_report(summary: dict[str, int]) -> str:
+    """The report of a merged registry: totals, and records of each source."""
+    own = {k: v for k, v in summary.items() if not k.startswith("source:")}
+    return report_text("Literature registry", {"Totals": own, "Records by source": {k.removeprefix("source:"): v for k, v in sorted(summary.items()) if k.startswith("source:")}})
+
+
+def semantic_report(df: DataFrame, thresholds, anchors: dict[str, int], final: str = "semantic_final_status") -> str:
+    """The second pass's report: counts by final status and by decision, anchors, thresholds."""
+    by = {c: {r[0]: r[1] for r in df.groupBy(c).agg(F.count("*")).collect()} for c in (final, "semantic_decision")}  # a few rows each
+    return report_text("Second pass", {"Final status": {b: by[final].get(b, 0) for b in ("strict", "review", "excluded")}, "Decisions": dict(sorted(by["semantic_decision"].items())), "Anchors": anchors, "Thresholds": vars(thresholds)})
+
+
+def parse_report(documents: DataFrame) -> str:
+    """The report of parsed documents (document_id, title, status, page counts): totals, and the failed ones by name."""
+    r = documents.agg(F.count("*").alias("documents"), F.count_if(F.startswith("status", F.lit("failed"))).alias("failed"), *(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("page_count", "native_pages", "ocr_pages", "low_text_pages"))).first()
+    failed = {x["document_id"]: x["title"] for x in documents.where(F.startswith("status", F.lit("failed"))).select("document_id", "title").toLocalIterator()}
+    return report_text("Parsed documents", {"Totals": r.asDict(), "Failed": failed})
