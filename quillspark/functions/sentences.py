@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-import sys
 import re
+import sys
+from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -94,6 +96,18 @@ def within_limits(sentences: str | Column) -> Column:
     return _cut_all(col(sentences))
 
 
+def with_limits(df: DataFrame, column: str) -> DataFrame:
+    """The rows with the sentences of a column cut to the limits. A step of its own: as an expression over an aggregate's result it would be moved into the aggregate."""
+    at = df.columns.index(column)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cut_ = [None if xs is None else [p for s in xs for p in cut_long(s)] for xs in batch.column(at).to_pylist()]
+            yield batch.set_column(at, column, pa.array(cut_, pa.list_(pa.string())))
+
+    return df.mapInArrow(cut, df.schema)
+
+
 def join_lines_cjk(lines: str | Column) -> Column:
     """Visual lines as running text: nothing between ideographs, a hyphen at a line's end joins, else one blank."""
     clean = F.filter(F.transform(col(lines), fold_cjk), lambda x: x != "")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quillspark.functions.sentences import join_lines_cjk, split_sentences_cjk, within_limits
+from quillspark.functions.sentences import join_lines_cjk, split_sentences_cjk, with_limits
 from quillspark.functions.text import SPACE, cjk_chars, col, content_chars, fold_cjk, given, header_key, normalize_page
 
 _STOP = r"[。！？!?；;]"
@@ -132,7 +132,7 @@ def sections(pages: DataFrame, include_references: bool = False, document: str =
         held = held.where(F.col("section") != REFERENCES)
     ordered = F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"])
     blocks = held.groupBy(document, "section", "page_number", "run").agg(ordered.alias("lines"), F.min("extraction_method").alias("extraction_method"))
-    said = blocks.withColumn("s", within_limits(split_sentences_cjk(join_lines_cjk("lines"))))
+    said = with_limits(blocks.withColumn("s", split_sentences_cjk(join_lines_cjk("lines"))).drop("lines"), "s")
     said = said.withColumn("s", F.transform("s", lambda x: F.struct(x.alias("text"), F.col("page_number").alias("page_number"), F.col("extraction_method").alias("extraction_method"))))
     whole = said.groupBy(document, "section").agg(F.array_sort(F.collect_list(F.struct("page_number", "run", "s"))).alias("__b"))
     return whole.select(document, "section", F.flatten(F.transform("__b", lambda b: b["s"])).alias("sentences"), F.struct(F.get("__b", F.lit(0))["page_number"].alias("page"), F.get("__b", F.lit(0))["run"].alias("run")).alias("first")).where("size(sentences) > 0")
