@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import _powers, documents, lists, map_batches, mix, ship, signed, sliced, texts_of, window_hashes, word_hashes, written
+from quillspark.llm.common import _powers, clean, documents, lists, map_batches, mix, release, ship, signed, sliced, texts_of, window_hashes, word_hashes, written
 
 MIN_WORDS = 50
 GRAM = 16
@@ -193,12 +193,31 @@ def _hot_spans(docs: DataFrame, reach: int, hot: int) -> DataFrame:
     return found.select("doc_id", "th", "start", (F.col("start") + MIN_WORDS).alias("stop"), F.explode(kinds).alias("later"))
 
 
+def _shared(each: DataFrame, hot: int) -> DataFrame:
+    """The occurrences (doc_id, th, at, anchor) of anchors that more than one document has, and whether there are ``hot`` of an anchor or more.
+
+    The frequent anchors are told first, by counts that tasks combine before they move, so that no task gets all occurrences of one.
+    """
+    one, same = F.struct("doc_id", "th"), W.partitionBy("anchor")
+    frequent = written(each.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") >= hot).select("anchor"), "frequent")
+    n = frequent.limit(MOST_SENT + 1).count()  # no more than occurrences / hot; beyond MOST_SENT they are joined
+    sent = F.broadcast if n <= MOST_SENT else lambda df: df
+    rare = each.join(sent(frequent), "anchor", "left_anti") if n else each
+    # A window over the anchor's occurrences: a join with the shared anchors would move all of them twice.
+    shared = rare.select("*", F.min(one).over(same).alias("low"), F.max(one).over(same).alias("high")).where("low <> high").select(*each.columns, F.lit(False).alias("hot"))
+    if not n:
+        return shared
+    often = each.join(sent(frequent), "anchor", "left_semi")
+    spread = often.groupBy("anchor").agg(F.min(one).alias("low"), F.max(one).alias("high")).where("low <> high").select("anchor")
+    return shared.unionByName(often.join(sent(spread), "anchor", "left_semi").select(*each.columns, F.lit(True).alias("hot")))
+
+
 _CONTEXT = "anchor bigint, doc_id bigint, th bigint, at int, left string, right string"
 
 
 def repeated_spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
     """(doc_id, repeated, removable, n_words): spans of words, from start to before end, of every document that has a repeated passage."""
-    reach = WINDOW - 1
+    spark, reach = docs.sparkSession, WINDOW - 1
     texts = documents(docs).where("doc_id is not null and text <> ''").withColumn("th", F.xxhash64("text"))
 
     def find(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -209,11 +228,10 @@ def repeated_spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
 
     found = map_batches(texts, find, "doc_id bigint, th bigint, at array<int>, anchor array<bigint>")
     each = found.select("doc_id", "th", F.explode(F.arrays_zip("at", "anchor")).alias("x")).select("doc_id", "th", "x.at", "x.anchor")
-    one = F.struct("doc_id", "th")
-    # A window over the anchor's occurrences: a join with the shared anchors would find all anchors twice.
-    same = W.partitionBy("anchor")
-    shared = each.select("*", F.min(one).over(same).alias("low"), F.max(one).over(same).alias("high"), (F.count("*").over(same) >= hot).alias("hot")).where("low <> high")
-    wanted = written(shared.groupBy("doc_id", "th", "hot").agg(F.collect_set(F.struct("at", "anchor")).alias("anchors")), "anchors")
+    first = clean(spark, since=1 << 60)
+    wanted = written(_shared(written(each, "occurrences"), hot).groupBy("doc_id", "th", "hot").agg(F.collect_set(F.struct("at", "anchor")).alias("anchors")), "anchors")
+    clean(spark, first, keep=1)
+    release(spark)
 
     def contexts(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows = []
