@@ -25,11 +25,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import cut, documents, ship, sliced
+from quillspark.llm.common import clean, cut, documents, ship, sliced, written
 
 MIN_CHARS = 20
 #: Top bits of a line hash by which the first ranks are summed in two steps.
 _RANK_BITS = 12
+#: Ranks of 2 ** _PART_BITS suffixes are summed in one task at most, so a line that very many different lines follow is summed in parts.
+_PART_BITS = 20
 
 
 def _lines(texts: DataFrame) -> DataFrame:
@@ -61,8 +63,12 @@ def _double(active: DataFrame, k: int) -> DataFrame:
     pairs = active.select(*_PLACE, "at", F.col("rank").alias("r1"), F.max("rank").over(here.rangeBetween(k, k)).alias("r2"), F.max("at").over(here.rangeBetween(1, 1)).alias("next_at"))
     pairs = pairs.where("r2 is not null")
     groups = pairs.groupBy("r1", "r2").agg(F.count("*").alias("n"), F.min(F.struct(*_PLACE)).alias("first")).where("n > 1")
-    before = F.sum("n").over(W.partitionBy("r1").orderBy("r2").rowsBetween(W.unboundedPreceding, -1))
-    ranks = groups.select("r1", "r2", "first", (F.col("r1") + F.coalesce(before, F.lit(0))).alias("rank"))
+    groups = written(groups.withColumn("part", F.shiftright("r2", _PART_BITS)), "pairs")
+    totals = groups.groupBy("r1", "part").agg(F.sum("n").alias("total"))
+    earlier = W.unboundedPreceding, -1
+    before = totals.select("r1", "part", F.coalesce(F.sum("total").over(W.partitionBy("r1").orderBy("part").rowsBetween(*earlier)), F.lit(0)).alias("before"))
+    within = F.coalesce(F.sum("n").over(W.partitionBy("r1", "part").orderBy("r2").rowsBetween(*earlier)), F.lit(0))
+    ranks = groups.join(before, ["r1", "part"]).select("r1", "r2", "first", (F.col("r1") + F.col("before") + within).alias("rank"))
     return pairs.join(ranks, ["r1", "r2"]).select(*_PLACE, "at", "next_at", "rank", (F.struct(*_PLACE) != F.col("first")).alias("later"))
 
 
@@ -71,8 +77,10 @@ def repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     texts = documents(docs).where("doc_id is not null and text <> ''").withColumn("th", F.xxhash64("text"))
     active, k, found = cut(_first_ranks(_lines(texts))), 1, []
     found.append(active.where(f"later and chars >= {int(min_chars)}").select("doc_id", "th", F.array("at").alias("ats"), F.lit(1).alias("k")))
+    first = clean(docs.sparkSession, since=1 << 60)
     while True:
         active = cut(_double(active, k))
+        clean(docs.sparkSession, first)
         k *= 2
         if active.isEmpty():
             break
