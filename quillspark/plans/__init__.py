@@ -21,16 +21,10 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
-#: Bytes of a table of texts up to which it is spread over the cores by a shuffle: it may be one row group, which one task would read.
-SMALL = 128 << 20
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table as it lies; documents of a few megabytes are spread over the cores, larger ones have row groups enough."""
-    at = f"{sf_dir}/{name}.parquet"
-    df = spark.read.parquet(at)
-    if name == "documents":
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(at)
-        if path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(path).getLength() <= SMALL:
-            return df.repartition(spark.sparkContext.defaultParallelism)
+    """A table as it lies; documents that are read in fewer splits than there are cores are spread over the cores."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if name == "documents" and df._jdf.queryExecution().toRdd().getNumPartitions() < cores:
+        return df.repartition(cores)
     return df

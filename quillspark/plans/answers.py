@@ -53,12 +53,12 @@ def q36_evaluation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return E.report(_rules(spark, sf_dir).withColumn("judged", judged), "all", "judged").select("conv_id", "turn", "status", "judged", "overall_status")
 
 
-#: Event properties inside a judge's chatter, some without any object, some broken.
-_RAW = "CASE event_id % 4 WHEN 0 THEN concat('Result: ', p, ' done') WHEN 1 THEN concat('```json ', p, ' ```') WHEN 2 THEN 'no object' ELSE concat('{broken ', p) END"
-_P = "concat('{\"status\": \"', CASE WHEN event_id % 3 = 0 THEN 'fail' ELSE 'pass' END, '\", \"safety_score\": ', event_id % 6, '}')"
+#: Every event's type and properties as a judgement inside a judge's chatter, some without any object, some broken.
+_RAW = "CASE event_id % 4 WHEN 0 THEN concat('Result: ', p, ' done') WHEN 1 THEN concat('```json ', p, ' ```') WHEN 2 THEN concat('no object ', substr(p, 2, length(p) - 2)) ELSE concat('{broken ', p) END"
+_P = "concat('{\"status\": \"', event_type, '\", ', substr(replace(props, '\"k\"', '\"safety_score\"'), 2))"
 
 
-@query("""SELECT event_id, CASE WHEN event_id % 4 > 1 THEN 'warning' WHEN event_id % 3 = 0 THEN 'fail' ELSE 'pass' END AS status, CAST(CASE WHEN event_id % 4 > 1 THEN 0 ELSE event_id % 6 END AS INTEGER) AS safety_score,
+@query("""SELECT event_id, CASE WHEN event_id % 4 > 1 THEN 'warning' ELSE event_type END AS status, CAST(CASE WHEN event_id % 4 > 1 THEN '0' ELSE regexp_extract(props, '"k": (-?[0-9]+)', 1) END AS INTEGER) AS safety_score,
   0 AS faithfulness_score, event_id % 4 > 1 AS parse_error FROM events""")
 def q37_judge_json_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = table(spark, sf_dir, "events").select("event_id", F.expr(_P).alias("p")).select("event_id", E.parse_judgement(F.expr(_RAW)).alias("j"))

@@ -53,8 +53,8 @@ def q02_doc_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
 #: The documents as records of several sources with keys of all three kinds.
 _RECORDS = """SELECT doc_id AS seq, source AS source_name, CAST(substr(source, 4, 9) AS INTEGER) AS source_rank,
   CASE WHEN doc_id % 3 = 0 THEN substr(md5(text), 1, 10) ELSE '' END AS pmid, CASE WHEN doc_id % 5 = 0 THEN concat('pmc', doc_id) ELSE '' END AS pmcid,
-  CASE WHEN doc_id % 4 = 0 THEN concat('10.1/', upper(substr(md5(text), 1, 8))) ELSE '' END AS doi, substr(text, 1, 60) AS title,
-  CASE WHEN doc_id % 2 = 0 THEN text ELSE '' END AS abstract, source AS journal, CASE WHEN doc_id % 7 = 0 THEN '' ELSE lang END AS year FROM documents"""
+  CASE WHEN doc_id % 4 = 0 THEN concat('10.1/', upper(substr(md5(text), 1, 8))) ELSE '' END AS doi, text AS title,
+  text AS abstract, source AS journal, CASE WHEN doc_id % 7 = 0 THEN '' ELSE lang END AS year FROM documents"""
 _COLUMNS = R.FIELDS[:7]
 _TITLE_SQL = "trim(regexp_replace(lower(title), '\\s+', ' ', 'g'))"
 _MERGED_SQL = f"""WITH r AS ({_RECORDS}),
@@ -111,11 +111,11 @@ def q07_row_index_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 _FOLD_SQL = "trim(regexp_replace({}, '\\s+', ' ', 'g'))"
 
 
-@query(f"""SELECT doc_id, concat_ws(chr(10), CASE WHEN doc_id % 2 = 0 THEN concat('Title: ', {_FOLD_SQL.format('substr(text, 1, 40)')}) END,
+@query(f"""SELECT doc_id, concat_ws(chr(10), CASE WHEN lang <> 'en' THEN concat('Title: ', lang) END,
   concat('Section: ', source), concat('Text: ', {_FOLD_SQL.format('text')})) AS embedding_text FROM documents""")
 def q08_embedding_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return docs.select("doc_id", R.embedding_text(F.when(F.col("doc_id") % 2 == 0, F.substring("text", 1, 40)), "source", "text").alias("embedding_text"))
+    return docs.select("doc_id", R.embedding_text(F.nullif("lang", F.lit("en")), "source", "text").alias("embedding_text"))
 
 
 @query("""SELECT page_id, coalesce(nullif(substr(regexp_replace(regexp_replace(url, '[^A-Za-z0-9._-]+', '_', 'g'), '^_+|_+$', '', 'g'), 1, 80), ''), 'section') AS slug,
