@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quillspark.llm import bpe, decontam, exactdup, jaccard, linededup, lmscore, quality, suffixdedup, toxicity
 from quillspark.llm.common import table
@@ -28,7 +29,10 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffixdedup.repeated_spans(table(spark, sf_dir, "documents"))
+    """Each document's spans as lists of where they begin and where they end."""
+    found = suffixdedup.repeated_spans(table(spark, sf_dir, "documents"))
+    edges = [F.col(kind)[edge].alias(f"{kind}_{edge}") for kind in ("repeated", "removable") for edge in ("start", "stop")]
+    return found.select("doc_id", *edges, "n_words")
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,6 +75,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op4_ngram_jaccard_join": jaccard.SQL,
+        "op5_suffix_array_dedup": suffixdedup.SQL,
         "op6_line_dedup": linededup.SQL.format(table="documents", min_chars=linededup.MIN_CHARS),
         "op7_exact_dedup": exactdup.SQL,
     }

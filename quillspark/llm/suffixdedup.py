@@ -311,3 +311,18 @@ def repeated_spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(repeated, span), pa.array(removable, span), pa.array(total, pa.int32())], ["doc_id", "repeated", "removable", "n_words"])
 
     return spans.mapInArrow(join_spans, "doc_id bigint, repeated array<struct<start:int,stop:int>>, removable array<struct<start:int,stop:int>>, n_words int")
+
+
+#: DuckDB SQL for :func:`repeated_spans` of ``documents`` with doc_ids of their own, the spans' ends as lists.
+SQL = """
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> '') AS w FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL),
+x AS (SELECT doc_id, CAST(s - 1 AS INTEGER) AS start, md5(array_to_string(w[s:s + 49], ' ')) AS h FROM d, unnest(range(1, len(w) - 48)) AS u(s) WHERE len(w) >= 50),
+k AS (SELECT h, min(doc_id) AS first FROM x GROUP BY h HAVING count(DISTINCT doc_id) > 1),
+r AS (SELECT doc_id, start, 'repeated' AS kind FROM x JOIN k USING (h) UNION ALL SELECT doc_id, start, 'removable' FROM x JOIN k USING (h) WHERE doc_id > first),
+g AS (SELECT *, start - coalesce(lag(start) OVER (PARTITION BY doc_id, kind ORDER BY start), -100) > 50 AS fresh FROM r),
+n AS (SELECT doc_id, kind, start, count(*) FILTER (WHERE fresh) OVER (PARTITION BY doc_id, kind ORDER BY start) AS span FROM g),
+s AS (SELECT doc_id, kind, min(start) AS start, CAST(max(start) + 50 AS INTEGER) AS stop FROM n GROUP BY doc_id, kind, span)
+SELECT doc_id, list(start ORDER BY start) FILTER (WHERE kind = 'repeated') AS repeated_start, list(stop ORDER BY start) FILTER (WHERE kind = 'repeated') AS repeated_stop,
+  coalesce(list(start ORDER BY start) FILTER (WHERE kind = 'removable'), []) AS removable_start, coalesce(list(stop ORDER BY start) FILTER (WHERE kind = 'removable'), []) AS removable_stop,
+  CAST(sum(stop - start) FILTER (WHERE kind = 'repeated') AS INTEGER) AS n_words FROM s GROUP BY doc_id
+"""
