@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 from quillspark.llm import bpe, decontam, jaccard, linededup, quality
 from quillspark.llm.common import clean, release, table, unused, written
 
+#: Identifiers of contaminated documents (8 bytes each) that may be sent to all tasks; more are joined by a shuffle.
+MOST_SENT = 1_000_000
+
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier doesn't reject."""
@@ -42,8 +45,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item, re-parameterised or not."""
     [mark] = unused(docs.columns, "__hit")
-    hit = decontam.decontaminate(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias(mark)).distinct()
-    return docs.join(hit, docs["doc_id"].cast("bigint") == hit[mark], "left_anti")
+    hit = written(decontam.decontaminate(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias(mark)).distinct(), "hits")
+    few = hit.limit(MOST_SENT + 1).count() <= MOST_SENT
+    return docs.join(F.broadcast(hit) if few else hit, docs["doc_id"].cast("bigint") == hit[mark], "left_anti")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
