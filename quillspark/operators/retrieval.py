@@ -59,15 +59,15 @@ def search(index: DataFrame, queries: DataFrame, k: int = TOP_K, query_id: str =
     A batch of rows meets a block of queries in one matrix product, and a task keeps k rows for each query. Queries are sent to the index's partitions when their
     number allows; else both sides are packed into blocks of at most ``BLOCK`` vectors and every pair of blocks is one product. Null vectors are found by nothing.
     """
-    spark, kind = index.sparkSession, {c: df.schema[c].dataType for df, c in ((index, row), (queries, query_id))}
-    schema = f"{query_id} bigint, {row} bigint, __s double"
+    spark, row_kind, id_kind = index.sparkSession, index.schema[row].dataType, queries.schema[query_id].dataType.simpleString()
+    schema = f"{query_id} {id_kind}, {row} bigint, __s double"
     have = index.select(F.col(row).cast("bigint").alias(row), vector).where(F.col(vector).isNotNull())
-    asked = queries.select(F.col(query_id).cast("bigint").alias(query_id), F.col(vector).alias("__q")).where("__q is not null")
+    asked = queries.select(query_id, F.col(vector).alias("__q")).where("__q is not null")
     if asked.limit(most_sent + 1).count() <= most_sent:
         sent = asked.toArrow().combine_chunks()  # at most most_sent vectors
         if not sent.num_rows:
-            return spark.createDataFrame([], schema).select(F.col(query_id).cast(kind[query_id]), F.col(row).cast(kind[row]), F.col("__s").alias("score"), F.lit(1).alias("rank")).limit(0)
-        shared = spark.sparkContext.broadcast((sent[query_id].to_numpy(), _matrix(sent["__q"].combine_chunks())))
+            return spark.createDataFrame([], schema).select(query_id, F.col(row).cast(row_kind), F.col("__s").alias("score"), F.lit(1).alias("rank")).limit(0)
+        shared = spark.sparkContext.broadcast((sent[query_id].combine_chunks(), _matrix(sent["__q"].combine_chunks())))
 
         def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ids, matrix = shared.value
@@ -78,7 +78,7 @@ def search(index: DataFrame, queries: DataFrame, k: int = TOP_K, query_id: str =
                     found = _hopeful(matrix @ _matrix(part.column(1)).T, part.column(0).to_numpy(), k)
                     held = _best(*(np.concatenate(x) for x in zip(held, found)), k)
             if len(held[0]):
-                yield pa.RecordBatch.from_arrays([pa.array(ids[held[0]]), pa.array(held[2]), pa.array(held[1])], [query_id, row, "__s"])
+                yield pa.RecordBatch.from_arrays([ids.take(pa.array(held[0])), pa.array(held[2]), pa.array(held[1])], [query_id, row, "__s"])
 
         scored = have.mapInArrow(nearest, schema)
     else:
@@ -87,21 +87,23 @@ def search(index: DataFrame, queries: DataFrame, k: int = TOP_K, query_id: str =
             for batch in batches:
                 for at in range(0, batch.num_rows, BLOCK):
                     part = batch.slice(at, BLOCK)
-                    yield pa.RecordBatch.from_arrays([pa.array([part.column(0).to_numpy().tobytes()], pa.binary()), pa.array([_matrix(part.column(1)).tobytes()], pa.binary())], ["ids", "vectors"])
+                    ids = pa.ListArray.from_arrays(pa.array([0, part.num_rows], pa.int32()), pa.concat_arrays([part.column(0)]))
+                    yield pa.RecordBatch.from_arrays([ids, pa.array([_matrix(part.column(1)).tobytes()], pa.binary())], ["ids", "vectors"])
 
         def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for cells in batch.to_pylist():
-                    rows, ids = (np.frombuffer(cells[c], np.int64) for c in ("ids", "query_ids"))
-                    a, b = (np.frombuffer(cells[c], np.float64).reshape(n, -1) for c, n in (("query_vectors", len(ids)), ("vectors", len(rows))))
+                have_ids, vectors, asked_ids, questions = batch.columns
+                for n in range(batch.num_rows):
+                    rows, ids = have_ids[n].values.to_numpy(), asked_ids[n].values
+                    a, b = (np.frombuffer(c[n].as_py(), np.float64).reshape(size, -1) for c, size in ((questions, len(ids)), (vectors, len(rows))))
                     place, score, at = _best(*_hopeful(a @ b.T, rows, k), k)
-                    yield pa.RecordBatch.from_arrays([pa.array(ids[place]), pa.array(at), pa.array(score)], [query_id, row, "__s"])
+                    yield pa.RecordBatch.from_arrays([ids.take(pa.array(place)), pa.array(at), pa.array(score)], [query_id, row, "__s"])
 
-        blocks, questions = (df.mapInArrow(packed, "ids binary, vectors binary") for df in (have, asked))
+        blocks, questions = (df.mapInArrow(packed, f"ids array<{kind}>, vectors binary") for df, kind in ((have, "bigint"), (asked, id_kind)))
         scored = blocks.crossJoin(questions.withColumnsRenamed({"ids": "query_ids", "vectors": "query_vectors"})).mapInArrow(met, schema)
     w = W.partitionBy(query_id).orderBy(F.desc("__s"), row)
     best = scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-    return best.select(F.col(query_id).cast(kind[query_id]), F.col(row).cast(kind[row]), F.round("__s", 6).alias("score"), "rank")
+    return best.select(query_id, F.col(row).cast(row_kind), F.round("__s", 6).alias("score"), "rank")
 
 
 def with_metadata(hits: DataFrame, metadata: DataFrame, row: str = "row_index") -> DataFrame:
