@@ -5,8 +5,8 @@ MIN_WORDS, so any passage of MIN_WORDS words has an anchor that depends on its w
 it. Anchors of one document only drop out. Each other occurrence sends its context to the anchor's bucket: as many words to both
 sides as a passage of MIN_WORDS around the anchor can have.
 
-An anchor of ``HOT`` occurrences or more, such as one in a licence that millions of documents carry, has no bucket. Its windows of MIN_WORDS words are known by
-two hashes and grouped for the first and the last document that holds them, which is combined before it moves; windows of
+An anchor of ``HOT`` occurrences or more, such as one in a licence that millions of documents carry, has no bucket. Such anchors are few and are sent to the documents; windows of
+MIN_WORDS words over them are known by two hashes and grouped for the first and the last document that holds them, which is combined before it moves; windows of
 as many occurrences are few and are sent to the documents, others join them. So no task holds a group that grows with the corpus.
 
 Buckets. :func:`suffix_sort` sorts the suffixes that begin at the anchor, and the reversed texts before it, by merge
@@ -43,6 +43,8 @@ CHUNK = 8_192
 HOT = 50_000
 #: Windows of HOT occurrences or more that may be sent to all tasks.
 MOST_SENT = 200_000
+#: Frequent anchors (8 bytes each) that may be sent to all tasks. Where a corpus could have more, an anchor counts as frequent from as many occurrences on as leave no more.
+MOST_ANCHORS = 4_000_000
 
 
 def anchors(text: str, gram: int = GRAM, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
@@ -166,52 +168,42 @@ def repeated_windows(buckets: np.ndarray, docs: np.ndarray, right: list[list[str
     return anywhere, earlier
 
 
-def _hot_spans(docs: DataFrame, reach: int, hot: int) -> DataFrame:
-    """(doc_id, th, start, stop, later) of the repeated windows over the anchors of docs (doc_id, text, th, anchors), window by window."""
+def _hot_spans(texts: DataFrame, frequent: np.ndarray, reach: int, hot: int) -> DataFrame:
+    """(doc_id, th, start, stop, later) of the repeated windows over frequent anchors (sorted), window by window; texts have (doc_id, text, th)."""
+    sent = texts.sparkSession.sparkContext.broadcast(frequent)
 
     def name(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-        out = []
-        for doc_id, text, th, chosen in zip(batch.column(0).to_pylist(), texts_of(batch), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+        out, known = [], sent.value
+        for doc_id, text, th in zip(batch.column(0).to_pylist(), texts_of(batch), batch.column(2).to_pylist()):
             h = word_hashes(text.split())
-            first, second = window_hashes(h, MIN_WORDS), window_hashes(mix(h), MIN_WORDS)
-            starts = np.unique(np.array([x["at"] for x in chosen])[:, None] - np.arange(reach + 1)[None, :])
-            starts = starts[(starts >= 0) & (starts < len(first))]
-            out.append((np.full(len(starts), doc_id), np.full(len(starts), th), starts.astype(np.int32), signed(first[starts]), signed(second[starts])))
+            if len(h) < MIN_WORDS:
+                continue
+            grams = window_hashes(h, GRAM)
+            at = np.flatnonzero(known[np.minimum(np.searchsorted(known, grams), len(known) - 1)] == grams)
+            if len(at):
+                first, second = window_hashes(h, MIN_WORDS), window_hashes(mix(h), MIN_WORDS)
+                starts = np.unique(at[:, None] - np.arange(reach + 1)[None, :])
+                starts = starts[(starts >= 0) & (starts < len(first))]
+                out.append((np.full(len(starts), doc_id), np.full(len(starts), th), starts.astype(np.int32), signed(first[starts]), signed(second[starts])))
+        if not out:
+            return None
         columns = [np.concatenate(c) for c in zip(*out)]
         return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["doc_id", "th", "start", "h1", "h2"])
 
-    rows = written(map_batches(docs, name, "doc_id bigint, th bigint, start int, h1 bigint, h2 bigint", 64), "windows")
+    rows = written(map_batches(texts, name, "doc_id bigint, th bigint, start int, h1 bigint, h2 bigint", 64), "windows")
     one = F.struct("doc_id", "th")
     keys = rows.groupBy("h1", "h2").agg(F.min(one).alias("low"), F.max(one).alias("high"), F.count("*").alias("n")).where("low <> high")
     keys = written(keys.drop("high"), "repeated")
     large = keys.where(F.col("n") >= hot)
     if 0 < large.limit(MOST_SENT + 1).count() <= MOST_SENT:
-        found = rows.join(keys.where(F.col("n") < hot), ["h1", "h2"]).unionByName(rows.join(F.broadcast(large), ["h1", "h2"]))
+        rest = rows.join(F.broadcast(large.select("h1", "h2")), ["h1", "h2"], "left_anti")
+        found = rest.join(keys.where(F.col("n") < hot), ["h1", "h2"]).unionByName(rows.join(F.broadcast(large), ["h1", "h2"]))
     else:
         found = rows.join(keys, ["h1", "h2"])
     kinds = F.when(one == F.col("low"), F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True)))
     return found.select("doc_id", "th", "start", (F.col("start") + MIN_WORDS).alias("stop"), F.explode(kinds).alias("later"))
 
 
-def _shared(each: DataFrame, hot: int) -> DataFrame:
-    """The occurrences (doc_id, th, at, anchor) of anchors that more than one document has, and whether there are ``hot`` of an anchor or more.
-
-    The frequent anchors are told first, by counts that tasks combine before they move, so that no task gets all occurrences of one.
-    """
-    one, same = F.struct("doc_id", "th"), W.partitionBy("anchor")
-    frequent = written(each.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") >= hot).select("anchor"), "frequent")
-    n = frequent.limit(MOST_SENT + 1).count()  # no more than occurrences / hot; beyond MOST_SENT they are joined
-    sent = F.broadcast if n <= MOST_SENT else lambda df: df
-    rare = each.join(sent(frequent), "anchor", "left_anti") if n else each
-    # A window over the anchor's occurrences: a join with the shared anchors would move all of them twice.
-    shared = rare.select("*", F.min(one).over(same).alias("low"), F.max(one).over(same).alias("high")).where("low <> high").select(*each.columns, F.lit(False).alias("hot"))
-    if not n:
-        return shared
-    often = each.join(sent(frequent), "anchor", "left_semi")
-    spread = often.groupBy("anchor").agg(F.min(one).alias("low"), F.max(one).alias("high")).where("low <> high").select("anchor")
-    return shared.unionByName(often.join(sent(spread), "anchor", "left_semi").select(*each.columns, F.lit(True).alias("hot")))
-
-
 _CONTEXT = "anchor bigint, doc_id bigint, th bigint, at int, left string, right string"
 
 
@@ -229,7 +221,16 @@ def repeated_spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
     found = map_batches(texts, find, "doc_id bigint, th bigint, at array<int>, anchor array<bigint>")
     each = found.select("doc_id", "th", F.explode(F.arrays_zip("at", "anchor")).alias("x")).select("doc_id", "th", "x.at", "x.anchor")
     first = clean(spark, since=1 << 60)
-    wanted = written(_shared(written(each, "occurrences"), hot).groupBy("doc_id", "th", "hot").agg(F.collect_set(F.struct("at", "anchor")).alias("anchors")), "anchors")
+    each = written(each, "occurrences")
+    # Frequent anchors are told by counts that tasks combine before they move, so no task gets all occurrences of one.
+    hot = max(hot, -(-each.count() // MOST_ANCHORS))
+    often = written(each.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") >= hot).select("anchor"), "frequent")  # at most MOST_ANCHORS
+    frequent = np.sort(often.toArrow()["anchor"].to_numpy().view(np.uint64))
+    rare = each.join(F.broadcast(often), "anchor", "left_anti") if len(frequent) else each
+    # A window over the anchor's occurrences: a join with the shared anchors would move all of them twice.
+    one, same = F.struct("doc_id", "th"), W.partitionBy("anchor")
+    shared = rare.select("*", F.min(one).over(same).alias("low"), F.max(one).over(same).alias("high")).where("low <> high")
+    wanted = written(shared.groupBy("doc_id", "th").agg(F.collect_set(F.struct("at", "anchor")).alias("anchors")), "anchors")
     clean(spark, first, keep=1)
     release(spark)
 
@@ -242,7 +243,7 @@ def repeated_spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
                 rows.append((x["anchor"], doc_id, th, at, " ".join(words[max(0, at - reach) : at]), " ".join(words[at : at + MIN_WORDS])))
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.string()))], ["anchor", "doc_id", "th", "at", "left", "right"])
 
-    joined = texts.join(wanted.where("not hot"), ["doc_id", "th"]).select("doc_id", "text", "th", "anchors")
+    joined = texts.join(wanted, ["doc_id", "th"]).select("doc_id", "text", "th", "anchors")
     placed = map_batches(joined, contexts, _CONTEXT, 64).repartition("anchor").sortWithinPartitions("anchor", "doc_id", "th", "at")
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -278,9 +279,8 @@ def repeated_spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
 
     ship(docs.sparkSession)
     spans = placed.mapInArrow(settle, "doc_id bigint, th bigint, start int, stop int, later boolean")
-    if not wanted.where("hot").isEmpty():
-        frequent = texts.join(wanted.where("hot"), ["doc_id", "th"]).select("doc_id", "text", "th", "anchors")
-        spans = spans.unionByName(_hot_spans(frequent.dropDuplicates(["doc_id", "th"]), reach, hot))
+    if len(frequent):
+        spans = spans.unionByName(_hot_spans(texts, frequent, reach, hot))
     spans = spans.groupBy("doc_id", "th", "later", "start").agg(F.max("stop").alias("stop")).repartition("doc_id", "th").sortWithinPartitions("doc_id", "th", "later", "start")
     span = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
 
