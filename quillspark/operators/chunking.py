@@ -110,15 +110,10 @@ def boundaries(similarities: str | Column, limits: Limits = EN) -> Column:
 
 def ranges(count: str | Column, cuts: str | Column) -> Column:
     """Half-open ranges from distinct cuts inside the sentences."""
-
-    def paired(edges: Column) -> Column:
-        return F.zip_with(F.slice(edges, F.lit(1), F.size(edges) - 1), F.slice(edges, F.lit(2), F.size(edges) - 1), lambda a, b: F.struct(a.alias("start"), b.alias("stop")))
-
-    def edges(n: Column) -> Column:
-        inside = F.array_sort(F.array_distinct(F.filter(col(cuts), lambda c: (c > 0) & (c < n))))
-        return F.concat(F.array(F.lit(0)), inside, F.array(n))
-
-    return let(let(col(count).cast("int"), edges), paired)
+    n = col(count).cast("int")
+    inside = F.array_sort(F.array_distinct(F.filter(col(cuts), lambda c: (c > 0) & (c < n))))
+    # No lambda within another's: Python functions over such arguments aren't evaluated.
+    return F.zip_with(F.concat(F.array(F.lit(0)), inside), F.concat(inside, F.array(n)), lambda a, b: F.struct(a.alias("start"), b.alias("stop")))
 
 
 def _from_stops(first: Column, stops: Column) -> Column:
@@ -174,7 +169,10 @@ def packed_stops(sizes, most: int) -> list[int]:
 
 
 def _over_sizes(found: Column, sizes: Column, fold: Callable[[int, list[int], object], list[int]]) -> Column:
-    """A fold of neighbouring ranges and sizes, in Arrow batches of whole numbers."""
+    """A fold of neighbouring ranges and sizes, in Arrow batches of whole numbers.
+
+    Neither may hold a lambda that names another lambda's variable, unless it is a column of its own: Spark doesn't evaluate Python functions over such.
+    """
 
     @F.pandas_udf("array<int>")
     def folded(starts: pd.Series, stops: pd.Series, sizes: pd.Series) -> pd.Series:
