@@ -188,3 +188,14 @@ def test_queries_agree_with_sql(spark):
         assert sorted(names) == sorted(df.columns), name
         order = sorted(range(len(names)), key=names.__getitem__)
         assert got == sorted((tuple(plain(r[k]) for k in order) for r in cur.fetchall()), key=repr), name
+
+
+def test_html_sections(spark):
+    html = (
+        "<html><head><style>p{}</style></head><body>Loose text before any heading.<h1>Main</h1><p>Long enough paragraph one.</p><script>var x = 'not this text at all';</script>"
+        "<h2>Part</h2><p>short</p><p>Another <b>long</b> enough &amp; good\n paragraph.</p><h2>References</h2><p>A reference that is long enough.</p><h1>Next</h1><p>Paragraph of the next part.</p></body>"
+    )
+    pages = spark.createDataFrame([(1, html), (2, None), (3, ""), (4, "<p>never closed but long enough")], "page_id bigint, html string")
+    got = sorted((r["page_id"], r["section"], r["paragraph_index"], r["text"], r["char_count"]) for r in articles.html_sections(pages, "page_id", "html", 20).collect())
+    want = [(1, "Body", "Loose text before any heading."), (1, "Main", "Long enough paragraph one."), (1, "Main > Part", "Another long enough & good paragraph."), (1, "Next", "Paragraph of the next part."), (4, "Body", "never closed but long enough")]
+    assert got == [(k, s, 1, t, len(t)) for k, s, t in want]
