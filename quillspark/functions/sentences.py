@@ -97,7 +97,10 @@ def within_limits(sentences: str | Column) -> Column:
 
 
 def with_limits(df: DataFrame, column: str) -> DataFrame:
-    """The rows with the sentences of a column cut to the limits. A step of its own: as an expression over an aggregate's result it would be moved into the aggregate."""
+    """The rows with the sentences of a column cut to the limits.
+
+    A step of its own: Spark may fail to evaluate a Python function over arguments that hold a lambda within another's, as joined lines do.
+    """
     at = df.columns.index(column)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
