@@ -76,7 +76,7 @@ SELECT record_id, chunk_id, CAST(prio AS INTEGER) AS prio FROM f UNION ALL SELEC
 def q23_multi_key_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = _view(spark, sf_dir, _ARTICLES, "documents").select(F.col("seq").alias("record_id"), "pmcid", "pmid", "doi", F.col("text").alias("abstract"), F.lit("").alias("title"))
     chunks = _view(spark, sf_dir, _CHUNKS, "conversations").withColumns({"seq": F.col("conv_id") * 1000 + F.col("turn"), "chunk_id": F.concat(F.lit("C"), "conv_id", F.lit("-"), "turn")})
-    return S.chunks_of_records(records, chunks).select("record_id", "chunk_id", F.col("place.prio").alias("prio"))
+    return S.chunks_of_records(records, chunks, keep=()).select("record_id", "chunk_id", F.col("place.prio").alias("prio"))
 
 
 _VECTOR_SQL = "v AS (SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings)"
