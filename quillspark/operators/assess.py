@@ -65,17 +65,20 @@ def assess_records(records: DataFrame, chunks: DataFrame, anchors: DataFrame, en
     """records (with status) and the second pass's decision: statistics of their chunks' similarity to anchors, decision, final status, reason.
 
     Chunks are found by any identifier, an abstract stands in where there are none. Anchors (label, text) of both labels are needed. Every text is
-    encoded once, in batches where it lies; only scores are gathered by record.
+    encoded once, in batches where it lies, however many records share it; only scores are joined with records.
     """
     held = anchors.select("label", encode(F.col("text")).alias("embedding"))
     if {r["label"] for r in anchors.groupBy("label").count().collect()} < {"animal", "human"}:  # two rows at most
         raise ValueError("anchors of both labels are needed")
-    found = S.chunks_of_records(records, chunks, record, seq)
-    texts = found.withColumn("__t", S.semantic_text(found)).withColumn("embedding", encode(F.col("__t")))
-    for label in ("animal", "human"):
-        texts = S.top_mean_similarity(texts, held.where(F.col("label") == label), t.anchors, into=f"{label}_score")
-    scored = texts.withColumn("lexical", vocab.ANIMAL.any(normalize("__t")))
-    scored = scored.withColumn("is_animal", S.is_animal("animal_score", "human_score", F.col("lexical"), t))
+
+    def score(texts: DataFrame) -> DataFrame:
+        texts = texts.withColumn("__t", S.semantic_text(texts)).withColumn("embedding", encode(F.col("__t")))
+        for label in ("animal", "human"):
+            texts = S.top_mean_similarity(texts, held.where(F.col("label") == label), t.anchors, into=f"{label}_score")
+        texts = texts.withColumn("lexical", vocab.ANIMAL.any(normalize("__t")))
+        return texts.withColumn("is_animal", S.is_animal("animal_score", "human_score", F.col("lexical"), t))
+
+    scored = S.scores_of_records(records, chunks, score, ("animal_score", "human_score", "lexical", "is_animal"), record, seq)
     titled = records.withColumns({"title_animal_terms": vocab.ANIMAL.found(normalize("title")), "title_human_terms": vocab.HUMAN_TITLE.found(normalize("title"))})
     return S.decide_articles(titled.join(S.article_stats(scored, [record]), record, "left"), t)
 
