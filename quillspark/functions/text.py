@@ -12,6 +12,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SPACE = r"(?U)[\s\x1C-\x1F]+"
+#: Such white space as isn't a single blank already.
+_ODD_SPACE = r"(?U)[\s\x1C-\x1F](?:[\s\x1C-\x1F]+|(?<! ))"
 CJK = r"㐀-䶿一-鿿"
 #: A word of Latin letters or digits, perhaps hyphenated, or one ideograph.
 WORD = r"[A-Za-z0-9]+(?:[-'][A-Za-z0-9]+)?|[一-鿿]"
@@ -27,6 +29,13 @@ def let(value: str | Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(col(value)), body), F.lit(0))
 
 
+def swap(x: Column, signs: str, by: str) -> Column:
+    """x with each of some signs replaced: ``translate`` for few signs, without its look at every character."""
+    for a, b in zip(signs, by, strict=True):
+        x = F.replace(x, F.lit(a), F.lit(b))
+    return x
+
+
 def given(x: str | Column) -> Column:
     """The string, empty for null."""
     return F.coalesce(col(x).cast("string"), F.lit(""))
@@ -49,28 +58,34 @@ def strip(x: str | Column) -> Column:
 
 def fold(x: str | Column) -> Column:
     """All white space to single blanks, none at the ends."""
-    return F.trim(F.regexp_replace(given(x), SPACE, " "))
+    return F.trim(F.regexp_replace(given(x), _ODD_SPACE, " "))
 
 
 def normalize(x: str | Column) -> Column:
     """Folded lower case with every dash as a hyphen: the form that word terms are matched in."""
-    return F.translate(fold(F.lower(given(x))), "‐‑–—", "----")
+    return swap(fold(F.lower(given(x))), "‐‑–—", "----")
 
 
 def normalize_dense(x: str | Column) -> Column:
     """Lower case, hyphens for dashes, no white space at all: the form that substring terms are matched in."""
-    return F.regexp_replace(F.translate(F.lower(given(x)), "‐‑–—", "----"), SPACE, "")
+    return F.regexp_replace(swap(F.lower(given(x)), "‐‑–—", "----"), SPACE, "")
 
 
 def fold_cjk(x: str | Column) -> Column:
     """Folded text without blanks between ideographs."""
-    plain = F.trim(F.regexp_replace(F.translate(given(x), "\u00a0\u3000", "  "), r"[ \t\r\n]+", " "))
-    return F.regexp_replace(plain, rf"(?<=[{CJK}])(?U)\s+(?=[{CJK}])", "")
+    plain = F.trim(F.regexp_replace(swap(given(x), "\u00a0\u3000", "  "), r"[ \t\r\n](?:[ \t\r\n]+|(?<! ))", " "))
+    return F.regexp_replace(plain, rf"(?U)\s(?<=[{CJK}]\s)\s*+(?=[{CJK}])", "")
+
+
+def ideograph(x: Column) -> Column:
+    """Whether a string of one character is an ideograph of :data:`CJK`."""
+    low, last, first, high = CJK[0], CJK[2], CJK[3], CJK[5]
+    return (x >= low) & (x <= high) & ~((x > last) & (x < first))
 
 
 def normalize_line(x: str | Column) -> Column:
     """One line of a page: odd blanks and NULs gone, runs of blanks as one."""
-    return F.trim(F.regexp_replace(F.regexp_replace(F.translate(given(x), "\u00a0\u3000", "  "), "\\x00", ""), r"[ \t]+", " "))
+    return F.trim(F.regexp_replace(F.regexp_replace(swap(given(x), "\u00a0\u3000", "  "), "\\x00", ""), r"[ \t]+", " "))
 
 
 def normalize_page(x: str | Column) -> Column:

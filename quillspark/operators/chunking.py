@@ -202,7 +202,7 @@ def _merged(r: Column, lines: Column, limits: Limits, backward: bool) -> Column:
         return measured(F.struct(a["start"].alias("start"), b["stop"].alias("stop")))
 
     def measured(x: Column) -> Column:
-        return F.struct(x["start"].alias("start"), x["stop"].alias("stop"), unit_count(_joined(lines, x)).alias("n"), F.length(_joined(lines, x)).alias("c"))
+        return let(_joined(lines, x), lambda t: F.struct(x["start"].alias("start"), x["stop"].alias("stop"), unit_count(t).alias("n"), F.length(t).alias("c")))
 
     def fits(x: Column) -> Column:
         return (x["n"] <= limits.most) & (x["c"] <= limits.most_chars)
@@ -253,7 +253,7 @@ def _split(found: Column, sizes: Column, lines: Column, length: Column, limits:
         return _from_stops(r["start"], F.aggregate(F.sequence(r["start"], r["stop"] - 1), start, step, lambda acc: F.array_append(acc["stops"], r["stop"])))
 
     def over(r: Column) -> Column:
-        return (unit_count(_joined(lines, r)) > limits.most) | (F.length(_joined(lines, r)) > limits.most_chars)
+        return let(_joined(lines, r), lambda t: (F.length(t) > limits.most_chars) | (unit_count(t) > limits.most))
 
     return F.flatten(F.transform(found, lambda r: F.when(over(r), cut(r)).otherwise(F.array(r))))
 

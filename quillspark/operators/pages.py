@@ -7,10 +7,14 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quillspark.functions.sentences import join_lines_cjk, split_sentences_cjk, with_limits
-from quillspark.functions.text import SPACE, cjk_chars, col, content_chars, fold_cjk, given, header_key, normalize_page
+from quillspark.functions.text import SPACE, cjk_chars, col, content_chars, fold_cjk, given, header_key, let, normalize_page
 
 _STOP = r"[。！？!?；;]"
 _PAGE_NUMBER = r"(?U)^(?:第)?[-—–]?\d+[-—–]?(?:页)?$"
+#: What lines of page numbers consist of; most others end such a search at once.
+_OF_PAGE_NUMBERS = r"(?U)^[\s\x1C-\x1F\d第页\-—–]*$"
+#: Documents whose repeated margins (at most four for the share of pages that a margin takes) may be sent to every task.
+MOST_SENT = 1_000
 _LINES = r"\r\n|[\n\r\x0B\x0C\x1C-\x1E\u0085  ]"
 
 #: Headings by their canonical name: what a whole line must be.
@@ -49,11 +53,14 @@ def _lines_of_pages(pages: DataFrame, document: str, page: str, text: str) -> Da
 
 def repeated_margins(pages: DataFrame, document: str = "document_id", page: str = "page_number", text: str = "text", share: float = 0.30) -> DataFrame:
     """(document, key): header and footer keys among the first and last two lines of at least three pages and a share of all."""
-    lines = F.filter(lines_of(text), lambda x: F.regexp_replace(x, SPACE, "") != "")
-    edge = F.concat(F.slice(lines, F.lit(1), F.lit(2)), F.slice(lines, F.greatest(F.size(lines) - 1, F.lit(1)), F.lit(2)))
-    plain = F.filter(edge, lambda x: ~x.rlike(_STOP))
+
+    def edge(lines: Column) -> Column:
+        return F.concat(F.slice(lines, F.lit(1), F.lit(2)), F.slice(lines, F.greatest(F.size(lines) - 1, F.lit(1)), F.lit(2)))
+
+    full = F.filter(lines_of(text), lambda x: x.rlike(r"(?U)[^\s\x1C-\x1F]"))
+    plain = F.filter(let(full, edge), lambda x: ~x.rlike(_STOP))
     keys = F.filter(F.array_distinct(F.transform(plain, header_key)), lambda k: F.length(k).between(2, 80))
-    each = pages.select(document, F.explode(keys).alias("key"))
+    each = pages.select(document, F.explode_outer(keys).alias("key")).where("key is not null")  # not explode: its array would be made a second time, to filter by size
     totals = pages.groupBy(document).agg(F.count("*").alias("pages"))
     counts = each.groupBy(document, "key").agg(F.count("*").alias("n"))
     enough = F.greatest(F.lit(3), F.floor(F.col("pages") * share + 0.999).cast("int"))
@@ -65,13 +72,18 @@ def without_margins(pages: DataFrame, document: str = "document_id", page: str =
 
     low_text, where a table has it, is not renewed.
     """
-    repeated = repeated_margins(pages, document, page, text, share).groupBy(document).agg(F.collect_set("key").alias("__keys"))
     totals = pages.groupBy(document).agg(F.count("*").alias("__pages"))
-    joined = pages.join(totals, document, "left").join(repeated, document, "left").withColumn("__keys", F.coalesce("__keys", F.array().cast("array<string>")))
-    lines = F.filter(
-        lines_of(text),
-        lambda x: ~(F.regexp_replace(x, SPACE, "").rlike(_PAGE_NUMBER) | (~x.rlike(_STOP) & F.array_contains(F.col("__keys"), header_key(x)))),
-    )
+    repeated = repeated_margins(pages, document, page, text, share).groupBy(document).agg(F.collect_set("key").alias("__keys"))
+    facts = totals.join(repeated, document, "left").withColumn("__keys", F.coalesce("__keys", F.array().cast("array<string>")))
+    if totals.limit(MOST_SENT + 1).count() <= MOST_SENT:  # else pages are shuffled by their document
+        facts = F.broadcast(facts)
+    joined = pages.join(facts, document, "left")
+
+    def number(x: Column) -> Column:
+        return x.rlike(_OF_PAGE_NUMBERS) & F.regexp_replace(x, SPACE, "").rlike(_PAGE_NUMBER)
+
+    keys = F.col("__keys")
+    lines = F.filter(lines_of(text), lambda x: ~(number(x) | ((F.size(keys) > 0) & ~x.rlike(_STOP) & F.array_contains(keys, header_key(x)))))
     clean = F.when(F.col("__pages") >= 3, normalize_page(F.array_join(lines, "\n"))).otherwise(F.col(text))
     out = joined.withColumn(text, clean).drop("__keys", "__pages")
     return out.withColumns({"text_char_count": content_chars(text), "cjk_char_count": cjk_chars(text)}).select(*pages.columns, *(c for c in ("text_char_count", "cjk_char_count") if c not in pages.columns))

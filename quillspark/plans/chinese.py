@@ -102,7 +102,7 @@ s AS (SELECT doc_id, least(g, greatest(whole - 1, 0)) AS g, string_agg(p, '' ORD
 
 @query(f"WITH {_D}, {_PIECES} SELECT doc_id, CAST(g AS INTEGER) AS k, sentence FROM s")
 def q43_zh_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _texts(spark, sf_dir).select("doc_id", F.posexplode(ST.split_sentences_cjk("text")).alias("k", "sentence"))
+    return _texts(spark, sf_dir).select("doc_id", F.posexplode_outer(ST.split_sentences_cjk("text")).alias("k", "sentence")).where("k is not null")
 
 
 @query(f"""WITH {_D}, l0 AS (SELECT doc_id, string_split(replace(text, ' ', '-' || chr(10)), chr(10)) AS l FROM d),
@@ -112,7 +112,8 @@ j AS (SELECT doc_id, k, CASE WHEN y IS NULL OR (regexp_matches(x, '{_C}$') AND r
 SELECT doc_id, {_fold("string_agg(x, '' ORDER BY k)")} AS joined FROM j GROUP BY doc_id""")
 def q44_zh_join_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = F.split(F.replace("text", F.lit(" "), F.lit("-\n")), "\n", -1)
-    return _texts(spark, sf_dir).select("doc_id", ST.join_lines_cjk(lines).alias("joined")).where("joined <> ''")
+    # Whether anything is left is told by the lines: a filter on what they give would move before it and join them a second time.
+    return _texts(spark, sf_dir).where(F.replace("text", F.lit(" "), F.lit("-\n")).rlike("[^ \t\r\n\u00a0\u3000]")).select("doc_id", ST.join_lines_cjk(lines).alias("joined"))
 
 
 #: Lines that are headings, or nearly, with what they are, by hand.
@@ -166,8 +167,10 @@ def q46_zh_chunk_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
         r = K.ranges(F.size(s), F.transform(F.sequence(F.lit(1), F.size(s)), lambda k: k * 2))
         return K.split_oversized(K.merge_short(r, n, _LIMITS, s, backward=True), n, _LIMITS, s)
 
-    said = _texts(spark, sf_dir).select("doc_id", ST.split_sentences_cjk("text").alias("s")).where(F.size("s") > 0)
-    return said.select("doc_id", F.explode(T.let("s", ranged)).alias("r")).select("doc_id", "r.start", "r.stop")
+    none = F.array().cast("array<struct<start:int,stop:int>>")
+    # explode_outer: Spark lets a filter on the array's size go before explode, which would make the ranges twice.
+    said = _texts(spark, sf_dir).select("doc_id", F.explode_outer(T.let(ST.split_sentences_cjk("text"), lambda s: F.when(F.size(s) > 0, ranged(s)).otherwise(none))).alias("r"))
+    return said.where("r is not null").select("doc_id", "r.start", "r.stop")
 
 
 @query(f"""WITH {_D}, m AS (SELECT *, len(regexp_extract_all(text, '[A-Za-z0-9㐀-䶿一-鿿]')) AS chars, len(regexp_extract_all(text, '{_C}')) AS cjk FROM d),
