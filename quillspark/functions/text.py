@@ -56,6 +56,11 @@ def strip(x: str | Column) -> Column:
     return F.regexp_replace(given(x), r"(?U)^[\s\x1C-\x1F]+|[\s\x1C-\x1F]+$", "")
 
 
+def unspaced(x: str | Column) -> Column:
+    """Without any white space; blanks, the most of it, go without a search for a pattern."""
+    return F.regexp_replace(F.replace(given(x), F.lit(" "), F.lit("")), SPACE, "")
+
+
 def fold(x: str | Column) -> Column:
     """All white space to single blanks, none at the ends."""
     return F.trim(F.regexp_replace(given(x), _ODD_SPACE, " "))
@@ -68,7 +73,7 @@ def normalize(x: str | Column) -> Column:
 
 def normalize_dense(x: str | Column) -> Column:
     """Lower case, hyphens for dashes, no white space at all: the form that substring terms are matched in."""
-    return F.regexp_replace(swap(F.lower(given(x)), "‐‑–—", "----"), SPACE, "")
+    return unspaced(swap(F.lower(given(x)), "‐‑–—", "----"))
 
 
 def fold_cjk(x: str | Column) -> Column:
@@ -85,12 +90,12 @@ def ideograph(x: Column) -> Column:
 
 def normalize_line(x: str | Column) -> Column:
     """One line of a page: odd blanks and NULs gone, runs of blanks as one."""
-    return F.trim(F.regexp_replace(F.regexp_replace(swap(given(x), "\u00a0\u3000", "  "), "\\x00", ""), r"[ \t]+", " "))
+    return F.trim(F.regexp_replace(F.replace(swap(given(x), "\u00a0\u3000", "  "), F.lit("\x00"), F.lit("")), r"[ \t](?:[ \t]+|(?<! ))", " "))
 
 
 def normalize_page(x: str | Column) -> Column:
     """A page with its lines normalised and runs of blank lines as one."""
-    lines = F.transform(F.split(F.regexp_replace(given(x), "\r", "\n"), "\n", -1), normalize_line)
+    lines = F.transform(F.split(swap(given(x), "\r", "\n"), "\n", -1), normalize_line)
     return F.regexp_replace(F.regexp_replace(F.array_join(lines, "\n"), r"\n{3,}", "\n\n"), r"^\n+|\n+$", "")
 
 
@@ -112,7 +117,7 @@ def private_use_chars(x: str | Column) -> Column:
 
 
 def visible_chars(x: str | Column) -> Column:
-    return F.length(F.regexp_replace(given(x), SPACE, ""))
+    return F.length(unspaced(x))
 
 
 def word_count(x: str | Column) -> Column:
@@ -142,7 +147,7 @@ def extraction_method(native: str | Column, ocr_mode: str = "auto", usable: Colu
 
 def header_key(x: str | Column) -> Column:
     """A line without white space and case, its numbers as #: equal for one header on many pages."""
-    return F.regexp_replace(F.lower(F.regexp_replace(given(x), SPACE, "")), r"(?U)(?:第)?\d+(?:页)?", "#")
+    return F.regexp_replace(F.lower(unspaced(x)), r"(?U)(?:第)?\d+(?:页)?", "#")
 
 
 def slug(x: str | Column, fallback: str, most: int = 80, pattern: str = r"[^A-Za-z0-9._-]+") -> Column:

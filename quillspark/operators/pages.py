@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quillspark.functions.sentences import join_lines_cjk, split_sentences_cjk, with_limits
-from quillspark.functions.text import SPACE, cjk_chars, col, content_chars, fold_cjk, given, header_key, let, normalize_page
+from quillspark.functions.text import SPACE, cjk_chars, col, content_chars, fold_cjk, given, header_key, let, normalize_page, unspaced
 
 _STOP = r"[。！？!?；;]"
 _PAGE_NUMBER = r"(?U)^(?:第)?[-—–]?\d+[-—–]?(?:页)?$"
@@ -80,7 +80,7 @@ def without_margins(pages: DataFrame, document: str = "document_id", page: str =
     joined = pages.join(facts, document, "left")
 
     def number(x: Column) -> Column:
-        return x.rlike(_OF_PAGE_NUMBERS) & F.regexp_replace(x, SPACE, "").rlike(_PAGE_NUMBER)
+        return x.rlike(_OF_PAGE_NUMBERS) & unspaced(x).rlike(_PAGE_NUMBER)
 
     keys = F.col("__keys")
     lines = F.filter(lines_of(text), lambda x: ~(number(x) | ((F.size(keys) > 0) & ~x.rlike(_STOP) & F.array_contains(keys, header_key(x)))))
@@ -113,12 +113,15 @@ def title_after_number(line: Column) -> Column:
 
 def heading(line: str | Column) -> Column:
     """The canonical heading a line is; null if it is none."""
+
+    def named(candidate: Column) -> Column:
+        found = F.lit(None).cast("string")
+        for name, pattern in reversed(HEADINGS.items()):
+            found = F.when(candidate.rlike(f"^(?:{pattern})$"), name).otherwise(found)
+        return found
+
     plain = F.regexp_replace(fold_cjk(line), r"(?U)^[\s【\[]+|[\s】\]]+$", "")
-    candidate = F.coalesce(title_after_number(plain), plain)
-    found = F.lit(None).cast("string")
-    for name, pattern in reversed(HEADINGS.items()):
-        found = F.when(candidate.rlike(f"^(?:{pattern})$"), name).otherwise(found)
-    return found
+    return let(plain, lambda p: let(F.coalesce(title_after_number(p), p), named))
 
 
 def carry_forward(df: DataFrame, group: list[str], order: list[str], mark: str, into: str, default: str = BODY) -> DataFrame:
