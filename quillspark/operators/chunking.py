@@ -186,36 +186,54 @@ def _over_sizes(found: Column, sizes: Column, fold: Callable[[int, list[int], ob
 def merge_short(found: str | Column, sizes: str | Column, limits: Limits = EN, texts: str | Column | None = None, backward: bool = False) -> Column:
     """Ranges with short ones joined to the next while both together stay within limits.
 
-    sizes: words or units of each sentence. With texts, units and characters are those of the sentences joined as running
+    sizes: words or units of each sentence. With texts, sizes must be their units; units and characters are then those of the sentences joined as running
     text. backward: a short last range is joined to the one before it.
     """
     if limits.least <= 0:
         return col(found)
     if texts is None:
         return _over_sizes(col(found), col(sizes), lambda first, stops, n: merged_stops(first, stops, n, limits, backward))
-    return let(F.struct(col(found).alias("r"), col(texts).alias("t")), lambda v: _merged(v["r"], v["t"], limits, backward))
+    return let(_bound(found, sizes, texts), lambda v: _merged(v["r"], v["t"], v["n"], v["l"], limits, backward))
 
 
-def _merged(r: Column, lines: Column, limits: Limits, backward: bool) -> Column:
-    def joined(a: Column, b: Column) -> Column:
-        """Two neighbouring ranges as one, with its size and characters."""
-        return measured(F.struct(a["start"].alias("start"), b["stop"].alias("stop")))
+def _bound(found: str | Column, sizes: str | Column, texts: str | Column) -> Column:
+    """Ranges, sentences, and each sentence's units and characters, evaluated once."""
+    return F.struct(col(found).alias("r"), col(sizes).alias("n"), col(texts).alias("t"), F.transform(col(texts), lambda x: F.length(given(x))).alias("l"))
+
+
+def _measured(x: Column, units: Column, chars: Column) -> Column:
+    """A range with bounds of its joined text: at most n units and c characters, and at least n - m units, as a hyphen at a sentence's end may join two words."""
+
+    def total(sizes: Column) -> Column:
+        return F.aggregate(F.slice(sizes, x["start"] + 1, x["stop"] - x["start"]), F.lit(0), lambda a, n: a + n)
+
+    m = x["stop"] - x["start"] - 1
+    return F.struct(x["start"].alias("start"), x["stop"].alias("stop"), total(units).alias("n"), (total(chars) + m).alias("c"), m.alias("m"))
 
-    def measured(x: Column) -> Column:
-        return let(_joined(lines, x), lambda t: F.struct(x["start"].alias("start"), x["stop"].alias("stop"), unit_count(t).alias("n"), F.length(t).alias("c")))
 
-    def fits(x: Column) -> Column:
-        return (x["n"] <= limits.most) & (x["c"] <= limits.most_chars)
+def _fits(x: Column, lines: Column, limits: Limits) -> Column:
+    """Whether a measured range is within limits; its text is joined only where the bounds don't tell."""
+    exact = let(_joined(lines, x), lambda t: (F.length(t) <= limits.most_chars) & (unit_count(t) <= limits.most))
+    return F.when((x["n"] <= limits.most) & (x["c"] <= limits.most_chars), True).when(x["n"] - x["m"] > limits.most, False).otherwise(exact)
+
+
+def _merged(r: Column, lines: Column, units: Column, chars: Column, limits: Limits, backward: bool) -> Column:
+    def joined(a: Column, b: Column) -> Column:
+        """Two neighbouring ranges as one, with its bounds."""
+        return F.struct(a["start"].alias("start"), b["stop"].alias("stop"), (a["n"] + b["n"]).alias("n"), (a["c"] + b["c"] + 1).alias("c"), (a["m"] + b["m"] + 1).alias("m"))
+
+    def short(x: Column) -> Column:
+        return F.when(x["n"] < limits.least, True).when(x["n"] - x["m"] >= limits.least, False).otherwise(unit_count(_joined(lines, x)) < limits.least)
 
     def step(acc: Column, x: Column) -> Column:
         p = acc["p"]
         apart = F.struct(x.alias("p"), p.alias("q"), F.array_append(acc["stops"], p["stop"]).alias("stops"))
-        return F.when(p["n"] < limits.least, let(joined(p, x), lambda both: F.when(fits(both), F.struct(both.alias("p"), acc["q"].alias("q"), acc["stops"].alias("stops"))).otherwise(apart))).otherwise(apart)
+        return F.when(short(p), let(joined(p, x), lambda both: F.when(_fits(both, lines, limits), F.struct(both.alias("p"), acc["q"].alias("q"), acc["stops"].alias("stops"))).otherwise(apart))).otherwise(apart)
 
     def finish(acc: Column) -> Column:
         stops, p = acc["stops"], acc["p"]
         if backward:  # q is the range before the last
-            join = (F.size(stops) > 0) & (p["n"] < limits.least) & fits(joined(acc["q"], p))
+            join = (F.size(stops) > 0) & short(p) & let(joined(acc["q"], p), lambda both: _fits(both, lines, limits))
             stops = F.when(join, F.slice(stops, F.lit(1), F.size(stops) - 1)).otherwise(stops)
         return F.array_append(stops, p["stop"])
 
@@ -224,7 +242,7 @@ def _merged(r: Column, lines: Column, limits: Limits, backward: bool) -> Column:
         first = F.struct(one.alias("p"), one.alias("q"), F.array().cast("array<int>").alias("stops"))
         return _from_stops(one["start"], F.aggregate(F.slice(m, F.lit(2), F.size(m)), first, step, finish))
 
-    return F.when(F.size(r) > 1, let(F.transform(r, measured), fold)).otherwise(r)
+    return F.when(F.size(r) > 1, let(F.transform(r, lambda x: _measured(x, units, chars)), fold)).otherwise(r)
 
 
 def split_oversized(found: str | Column, sizes: str | Column, limits: Limits = EN, texts: str | Column | None = None) -> Column:
@@ -235,8 +253,7 @@ def split_oversized(found: str | Column, sizes: str | Column, limits: Limits = E
     """
     if texts is None:
         return _over_sizes(col(found), col(sizes), lambda first, stops, n: cut_stops(first, stops, n, limits))
-    bound = F.struct(col(found).alias("r"), col(sizes).alias("n"), col(texts).alias("t"), F.transform(col(texts), lambda t: F.length(t)).alias("c"))
-    return let(bound, lambda v: _split(v["r"], v["n"], v["t"], v["c"], limits))
+    return let(_bound(found, sizes, texts), lambda v: _split(v["r"], v["n"], v["t"], v["l"], limits))
 
 
 def _split(found: Column, sizes: Column, lines: Column, length: Column, limits: Limits) -> Column:
@@ -253,7 +270,7 @@ def _split(found: Column, sizes: Column, lines: Column, length: Column, limits:
         return _from_stops(r["start"], F.aggregate(F.sequence(r["start"], r["stop"] - 1), start, step, lambda acc: F.array_append(acc["stops"], r["stop"])))
 
     def over(r: Column) -> Column:
-        return let(_joined(lines, r), lambda t: (F.length(t) > limits.most_chars) | (unit_count(t) > limits.most))
+        return ~let(_measured(r, sizes, length), lambda x: _fits(x, lines, limits))
 
     return F.flatten(F.transform(found, lambda r: F.when(over(r), cut(r)).otherwise(F.array(r))))
 
