@@ -237,6 +237,13 @@ def window_hashes(values: np.ndarray, width: int) -> np.ndarray:
     return mix((p[width:] - p[:-width]) * inverses)
 
 
+def span_hashes(values: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The hash of :func:`window_hashes` for windows of any widths."""
+    p = prefix_hashes(values)
+    _, inverses = _powers(len(p))
+    return mix((p[end] - p[begin]) * inverses[begin])
+
+
 def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 

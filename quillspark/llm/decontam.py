@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import Bounded, documents, hash64, map_batches, mix, signed, texts_of, window_hashes
+from quillspark.llm.common import Bounded, documents, hash64, map_batches, mix, span_hashes, texts_of, window_hashes
 
 WIDTH = 8
 MIN_WORDS = 5
@@ -43,6 +43,8 @@ MOST_SHIFTED = 8
 MOST_SENT = 4_000_000
 #: Bits of that bitmap at most, as a power of two: 128 MB. What it lets through is joined, so its size bears on speed only.
 MOST_BITS = 30
+#: Characters of documents that are read at once, besides those of the first.
+CHARS_AT_ONCE = 2_000_000
 
 UNITS = frozenset(
     "mm cm m km in ft yd mi mg g kg t lb lbs oz ml l cl dl s sec secs min mins h hr hrs ms kb mb gb tb hz khz mhz ghz w kw v a j kj cal kcal pa kpa bar c f k % ° "
@@ -63,13 +65,14 @@ def core(word: str) -> str:
     return word.strip(_STRIP)
 
 
-def _packed(word: str) -> int:
-    """A hash of the canonical word in the upper bits, and flags in the lower five."""
+def _read(raw: bytes) -> tuple[int, bytes]:
+    """A word's flags, and the word in lower case without surrounding punctuation."""
+    word = raw.decode("utf-8", "surrogatepass")
     inner, flags = core(word), 0
     if word.rstrip("\"'”’»)]*_").endswith((".", "!", "?", "…", ":")):
         flags |= _ENDS
     if not inner:
-        return flags  # punctuation alone: no word
+        return flags, b""  # punctuation alone: no word
     m = _NUMBER.fullmatch(inner)
     if m and (m[1] is None or m[1] in _CURRENCY or m[1].lower() in UNITS):
         flags |= _NUM | (_UNITED if m[1] or any(c in inner for c in _CURRENCY) else 0)
@@ -77,37 +80,166 @@ def _packed(word: str) -> int:
         flags |= _UNIT
     if inner[0].isupper() and len(inner) > 1 and not inner.isupper():
         flags |= _NAME
-    return hash64(inner.lower()) & ~31 | flags | (32 if hash64(inner.lower()) >> 5 == 0 else 0)
-
-
-_PACKED = Bounded(_packed)
+    return flags, inner.lower().encode("utf-8", "surrogatepass")
+
+
+_READ = Bounded(_read)
+
+#: What a byte of a plain word may be; _ODD, and a second byte after 0xC3 (of À to ÿ) by its own table: _read must have the word.
+_EDGE, _AFTER, _STOP, _UPPER, _LOWER, _ODD = 1, 2, 4, 8, 16, 32
+_BYTES, _SECOND = np.zeros(256, np.uint8), np.full(256, _ODD, np.uint8)
+for _chars, _kind in ((_STRIP, _EDGE), ("\"')]*_", _AFTER), (".!?:", _STOP), ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", _UPPER), ("abcdefghijklmnopqrstuvwxyz", _LOWER), ("0123456789", _ODD)):
+    _BYTES[[ord(c) for c in _chars if c.isascii()]] |= _kind
+_BYTES[0x80:] = _ODD
+for _char in map(chr, range(0xC0, 0x100)):
+    _SECOND[_char.encode()[1]] = _UPPER if _char.isupper() else _LOWER if _char.islower() else _ODD
+_SCRAMBLED = mix(np.arange(1, 257, dtype=np.uint64))
+
+
+def _hashed(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of pieces of bytes, equal wherever the pieces are equal."""
+    return span_hashes(_SCRAMBLED[data], begin, end)
+
+
+_UNIT_HASHES = np.sort([_hashed(np.frombuffer(u, np.uint8), np.array([0]), np.array([len(u)]))[0] for u in (u.encode() for u in UNITS)])
+
+
+def _packed(words: pa.BinaryArray) -> np.ndarray:
+    """For each word a hash of the canonical word in the upper bits, and flags in the lower five, as :func:`_read` has them.
+
+    Words of letters up to ÿ and of ASCII punctuation are read here, all at once: most words of a corpus are rare, and a memo has them seldom.
+    """
+    at = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
+    data = np.frombuffer(words.buffers()[2], np.uint8)[at[0] : at[-1]]
+    at -= at[0]
+    begin, end = at[:-1], at[1:]
+    kinds = _BYTES[data]
+    lead = np.flatnonzero(data[:-1] == 0xC3)
+    kinds[lead + 1] = _SECOND[data[lead + 1]]
+    kinds[lead] = kinds[lead + 1] & _UPPER
+    place = np.arange(len(data))
+
+    def last(kind: int) -> np.ndarray:
+        """The last byte of each word that isn't of the kind, or one before the word."""
+        return np.maximum.accumulate(np.where(kinds & kind, -1, place))[end - 1]
+
+    def count(kind: int, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        n = np.concatenate([[0], np.cumsum((kinds & kind) > 0)])
+        return n[end] - n[begin]
+
+    stop = np.maximum(last(_EDGE) + 1, begin)
+    start = np.minimum(np.minimum.accumulate(np.where(kinds & _EDGE, len(data), place)[::-1])[::-1][begin], stop)
+    tail = last(_AFTER)
+    flags = np.where((tail >= begin) & ((kinds[tail] & _STOP) > 0), _ENDS, 0).astype(np.uint64)
+    lower = np.where((kinds & _UPPER) > 0, data + np.uint8(32), data)
+    lower[lead] = 0xC3
+    found = _hashed(lower, start, stop)
+    some = start < stop
+    flags[some & ((kinds[np.minimum(start, len(data) - 1)] & _UPPER) > 0) & (count(_LOWER, start, stop) > 0)] |= np.uint64(_NAME)
+    flags[_UNIT_HASHES[np.minimum(np.searchsorted(_UNIT_HASHES, found), len(_UNIT_HASHES) - 1)] == found] |= np.uint64(_UNIT)
+    odd = np.flatnonzero(count(_ODD, begin, end))
+    if len(odd):
+        read = [_READ[w] for w in words.take(pa.array(odd)).to_numpy(zero_copy_only=False)]
+        ends = np.cumsum([0] + [len(w) for _, w in read])
+        flags[odd] = [f for f, _ in read]
+        found[odd] = _hashed(np.frombuffer(b"".join(w for _, w in read), np.uint8), ends[:-1], ends[1:])
+        some[odd] = ends[:-1] < ends[1:]
+    found &= ~np.uint64(31)
+    found[found == 0] = 32
+    return np.where(some, found, np.uint64(0)) | flags
+
+
+#: 1 for bytes that are white space to str.split, 2 for those that may begin white space of several bytes.
+_SPACES = np.zeros(256, np.uint8)
+_SPACES[list(b"\t\n\v\f\r\x1c\x1d\x1e\x1f ")] = 1
+_SPACES[[0xC2, 0xE1, 0xE2, 0xE3]] = 2
+_WIDE_SPACES = np.array([int.from_bytes(c.encode(), "big") for c in "\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"], np.uint32)
+
+
+def _split(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All the texts' words as :func:`_packed` has them, for each text the index of its first word, and which words a line break parts from the word before.
+
+    Words are those of str.split, line breaks those of str.splitlines; a word is read once, however often it occurs.
+    """
+    encoded = [text.encode("utf-8", "surrogatepass") for text in texts]
+    data = np.frombuffer(b" " + b" ".join(encoded) + b"   ", np.uint8)
+    kinds = _SPACES[data]
+    space = kinds == 1
+    lead = np.flatnonzero(kinds == 2)
+    if len(lead):
+        one, two, three = (data[lead + k].astype(np.uint32) for k in range(3))
+        narrow = lead[(one == 0xC2) & ((two == 0x85) | (two == 0xA0))]
+        wide = lead[np.isin(one << 16 | two << 8 | three, _WIDE_SPACES)]
+        for at in (narrow, narrow + 1, wide, wide + 1, wide + 2):
+            space[at] = True
+    edges = np.flatnonzero(space[1:] != space[:-1]) + 1  # beginnings and ends of words by turns
+    if not len(edges):
+        return np.zeros(0, np.uint64), np.zeros(len(texts), np.int64), np.zeros(0, bool)
+    begin = np.cumsum([1] + [len(e) + 1 for e in encoded])[:-1]
+    parts = pa.BinaryArray.from_buffers(pa.binary(), len(edges) - 1, [None, pa.py_buffer(edges.astype(np.int32)), pa.py_buffer(data)]).dictionary_encode()
+    codes, values = parts.indices.to_numpy(), parts.dictionary
+    gap = np.zeros(len(values), bool)
+    gap[codes[1::2]] = True
+    packed, breaks = np.zeros(len(values), np.uint64), np.zeros(len(values), bool)
+    packed[~gap] = _packed(values.filter(pa.array(~gap)))
+    breaks[gap] = [len(f"a{g.decode()}a".splitlines()) > 1 for g in values.filter(pa.array(gap)).to_pylist()]
+    return packed[codes[::2]], np.searchsorted(edges[::2], begin), np.concatenate([[False], breaks[codes[1::2]]])
 
 
 def canonical(text: str) -> tuple[np.ndarray, np.ndarray, list[str]]:
     """Hashes of the canonical words of a text, for each the index of its first raw word, and the raw words."""
-    words = text.split()
-    return _canonical(words, np.fromiter(map(_PACKED.__getitem__, words), np.uint64, len(words)))
-
-
-def readings(text: str) -> list[tuple[np.ndarray, np.ndarray, list[str]]]:
-    """:func:`canonical`, and a second time with line breaks as ends of sentences if that makes a difference."""
-    lines = [line.split() for line in text.splitlines()]
-    words = [w for line in lines for w in line]
-    x = np.fromiter(map(_PACKED.__getitem__, words), np.uint64, len(words))
-    found = [_canonical(words, x)]
-    begin = np.unique(np.cumsum([len(line) for line in lines])[:-1])
-    begin = begin[(begin > 0) & (begin < len(x))]
-    open_ends = begin[((x[begin] & np.uint64(_NAME | _UNIT)) > 0) & ((x[begin - 1] & np.uint64(_ENDS)) == 0)]
+    return *_canonical(_split([text])[0]), text.split()
+
+
+#: Stands before each text where several are read as one: it ends a sentence and is no word of any text.
+_BOUND = np.uint64(hash64("\n") & ~31 | _ENDS)
+
+
+class Reading:
+    """Canonical words of several texts, one after the other, each text with ``_BOUND`` before it."""
+
+    def __init__(self, x: np.ndarray, bound: np.ndarray, texts: np.ndarray):
+        #: Which texts they are, and where each begins among raw and canonical words.
+        self.texts, self.raw = texts, np.flatnonzero(bound)
+        self.hashes, self.first = _canonical(x)
+        self.at = np.searchsorted(self.first, self.raw)
+
+    def of(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """What :func:`canonical` has for the k-th text, but for the raw words."""
+        own = slice(self.at[k] + 1, self.at[k + 1] if k + 1 < len(self.at) else None)
+        return self.hashes[own], self.first[own] - self.raw[k] - 1
+
+    def inside(self, found: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """Of windows at these places those within one text, and that text's place in ``texts``."""
+        k = np.searchsorted(self.at, found, "right") - 1
+        within = (found > self.at[k]) & (found + width <= np.append(self.at[1:], len(self.hashes))[k])
+        return found[within], k[within]
+
+
+def readings(texts: list[str]) -> list[Reading]:
+    """The texts' canonical words, and a second time with line breaks as ends of sentences for the texts where that makes a difference."""
+    words, begin, broken = _split(texts)
+    every = np.arange(len(texts))
+    x, broken, bound = np.insert(words, begin, _BOUND), np.insert(broken, begin, False), np.zeros(len(words) + len(texts), bool)
+    bound[begin + every] = True
+    broken[1:] &= ~bound[:-1]  # a text's first word
+    open_ends = np.flatnonzero(broken & ((x & np.uint64(_NAME | _UNIT)) > 0))
+    open_ends = open_ends[(x[open_ends - 1] & np.uint64(_ENDS)) == 0]
+    found = [Reading(x, bound, every)]
     if len(open_ends):
+        text = np.cumsum(bound) - 1
+        twice = np.zeros(len(texts), bool)
+        twice[text[open_ends]] = True
         ended = x.copy()
         ended[open_ends - 1] |= np.uint64(_ENDS)
-        found.append(_canonical(words, ended))
+        own = twice[text]
+        found.append(Reading(ended[own], bound[own], every[twice]))
     return found
 
 
-def _canonical(words: list[str], x: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[str]]:
+def _canonical(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if not len(x):
-        return x, np.zeros(0, np.int64), words
+        return x, np.zeros(0, np.int64)
     flags = (x & np.uint64(31)).astype(np.uint8)
     ends = (flags & _ENDS) > 0
     starts = np.empty(len(x), bool)
@@ -132,7 +264,7 @@ def _canonical(words: list[str], x: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     run = np.zeros(len(x), bool)
     run[1:] = names[1:] & names[:-1]
     whole = ~(run | units)
-    return out[whole], kept[whole], words
+    return out[whole], kept[whole]
 
 
 _PLACEHOLDERS = np.array(sorted(_KINDS.values()), np.uint64)
@@ -213,30 +345,52 @@ def wanted_windows(windows: DataFrame, n: int, most_sent: int = MOST_SENT) -> Wa
     return Wanted(None, bitmap)
 
 
-def _emit(batch: pa.RecordBatch, sizes: list[int], min_literal: int, wanted: Wanted | None, whole: tuple[int, int] | None) -> pa.RecordBatch:
-    """Windows of a batch's texts: for items (``whole`` set) those of the main width, or one of all words of a short item; their reading is the variant."""
-    rows = []
-    variants = batch.column(2).to_pylist() if whole is not None else [0] * batch.num_rows
-    for doc_id, text, variant in zip(batch.column(0).to_pylist(), texts_of(batch), variants):
-        if doc_id is None or not text:
-            continue
-        for reading, (hashes, first, words) in enumerate([canonical(text)] if whole is not None else readings(text)):
-            widths = sizes
-            if whole is not None:
-                width, least = whole
-                widths = [width] if len(hashes) >= width else [len(hashes)] if len(hashes) >= least else []
-            for width in widths:
-                found, usable = _windows(hashes, width, min(min_literal, width))
-                n = int(usable.sum())
-                if wanted is not None and n:
-                    usable &= wanted.has(found)
-                for k in np.flatnonzero(usable).tolist():
-                    template, slots = _describe(hashes, first, words, k, width)
-                    rows.append((doc_id, reading + variant, width, k, int(found[k : k + 1].view(np.int64)[0]), template, slots, n))
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
     columns = list(zip(*rows)) if rows else [[] for _ in _FOUND]
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _FOUND)], schema=_FOUND)
 
 
+def _of_items(batch: pa.RecordBatch, width: int, least: int, min_literal: int) -> pa.RecordBatch:
+    """Windows of a batch's items of the main width, or one of all words of a short item; their reading is the variant."""
+    rows = []
+    for item_id, text, variant in zip(batch.column(0).to_pylist(), texts_of(batch), batch.column(2).to_pylist()):
+        if item_id is None or not text:
+            continue
+        hashes, first, words = canonical(text)
+        size = min(width, len(hashes))
+        if size < min(least, width):
+            continue
+        found, usable = _windows(hashes, size, min(min_literal, size))
+        n = int(usable.sum())
+        for k in np.flatnonzero(usable).tolist():
+            rows.append((item_id, variant, size, k, int(found[k : k + 1].view(np.int64)[0]), *_describe(hashes, first, words, k, size), n))
+    return _batch(rows)
+
+
+def _of_documents(batch: pa.RecordBatch, sizes: list[int], min_literal: int, wanted: Wanted) -> pa.RecordBatch:
+    """Windows of a batch's documents that may be wanted. Only documents that have such are split in Python."""
+    every = [(i, t) for i, t in zip(batch.column(0).to_pylist(), texts_of(batch)) if i is not None and t]
+    ends = np.cumsum([len(t) for _, t in every])
+    rows = []
+    for part in np.split(np.arange(len(every)), np.flatnonzero(np.diff(ends // CHARS_AT_ONCE)) + 1):
+        if not len(part):
+            continue
+        own = every[part[0] : part[-1] + 1]
+        for number, reading in enumerate(readings([t for _, t in own])):
+            last, hashes, first, words = -1, None, None, []
+            for width in sizes:
+                found, usable = _windows(reading.hashes, width, min(min_literal, width))
+                at = np.flatnonzero(usable)
+                at = at[wanted.has(found[at])]
+                for k, text in zip(*(x.tolist() for x in reading.inside(at, width))):
+                    if text != last:
+                        doc_id, raw = own[reading.texts[text]]
+                        last, words, (hashes, first) = text, raw.split(), reading.of(text)
+                    local = k - int(reading.at[text]) - 1
+                    rows.append((doc_id, number, width, local, int(found[k : k + 1].view(np.int64)[0]), *_describe(hashes, first, words, local, width), None))
+    return _batch(rows)
+
+
 def _joined(forth: dict[str, str], back: dict[str, str], pairs: list[tuple[str, str]]) -> tuple[dict[str, str], dict[str, str]] | None:
     """Both maps with the pairs added, or None if they contradict."""
     forth, back = dict(forth), dict(back)
@@ -294,7 +448,7 @@ def best_chain(hits: list[dict], most: int, least: float = 0.0) -> int:
 def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, min_words: int = MIN_WORDS, min_literal: int = MIN_LITERAL, min_coverage: float = MIN_COVERAGE, most_sent: int = MOST_SENT) -> DataFrame:
     """(doc_id, item_id, coverage): the items that contaminate each document, with the covered share of the item's windows."""
     items = documents(benchmark, "item_id", "text").dropDuplicates().withColumn("variant", F.row_number().over(W.partitionBy("doc_id").orderBy("text")))
-    windows = map_batches(items, lambda b: _emit(b, [], min_literal, None, (width, min_words)), _DDL)
+    windows = map_batches(items, lambda b: _of_items(b, width, min_words, min_literal), _DDL)
     windows = windows.select(F.col("id").alias("item_id"), F.col("reading").alias("variant"), "size", F.col("at").alias("item_at"), "window", F.col("template").alias("item_template"), F.col("slots").alias("item_slots"), "n_windows")
     spark = docs.sparkSession
     hashes = windows.select("size", "window").distinct()
@@ -302,7 +456,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, min
     sizes = sorted(counts)
     wanted = spark.sparkContext.broadcast(wanted_windows(hashes, sum(counts.values()), most_sent))
     texts = documents(docs).where("doc_id is not null and text <> ''")
-    found = map_batches(texts, lambda b: _emit(b, sizes, min_literal, wanted.value, None), _DDL)
+    found = map_batches(texts, lambda b: _of_documents(b, sizes, min_literal, wanted.value), _DDL)
     found = found.select(F.col("id").alias("doc_id"), "reading", "size", "at", "window", "template", "slots")
     hits = found.join(windows, ["size", "window"]).where("template = item_template")
     hits = hits.groupBy("doc_id", "item_id", "variant", "reading").agg(F.max("n_windows").alias("n_windows"), F.collect_set(F.struct("at", "item_at", "template", "item_slots", "slots")).alias("hits"))
